@@ -6,12 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import vocab as V
-from hirelens.functions.text import blank_to_null, col, text_of
+from hirelens.functions.text import blank_to_null, col, is_listed, text_of
 
 
 def is_company_tag(company: Column | str) -> Column:
     """Not a company name: a known label or shorter than two characters (F16)."""
-    return col(company).isin(V.COMPANY_TAGS) | (F.length(col(company)) < 2)
+    return is_listed(col(company), V.COMPANY_TAGS) | (F.length(col(company)) < 2)
 
 
 def repaired_company(company: Column | str, candidate: Column | str) -> Column:

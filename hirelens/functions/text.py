@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,39 +37,69 @@ def trim_controls(c: Column | str) -> Column:
     return F.btrim(col(c), F.lit(CONTROL_BLANKS))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, also when the body is a lambda that
+    uses it for every element of an array."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def words_of(words: list[str]) -> Column:
+    """A word list as a constant array (one literal, folded when the query is planned)."""
+    return F.split(F.lit("\x00".join(words)), "\x00")
+
+
 def capture(c: Column, pattern: str, group: int = 1) -> Column:
     """First match of a pattern, null when there is none."""
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
 def capture_number(c: Column, pattern: str, group: int = 1) -> Column:
-    """First match as bigint; null when there is none or it does not fit."""
-    return F.regexp_extract(c, pattern, group).try_cast("bigint")
+    """First match as bigint; null when there is none or it does not fit.
+
+    No match has to be null *before* the cast: a failing cast costs an exception per row.
+    """
+    return capture(c, pattern, group).try_cast("bigint")
+
+
+def is_listed(c: Column, words: list[str]) -> Column:
+    return F.array_contains(words_of(words), c)
 
 
 def contains_any(c: Column, words: list[str]) -> Column:
-    found = c.contains(words[0])
-    for word in words[1:]:
-        found = found | c.contains(word)
-    return found
+    """Whether the text contains one of the words."""
+    if len(words) < 4:
+        found = c.contains(words[0])
+        for word in words[1:]:
+            found = found | c.contains(word)
+        return found
+    return let(c, lambda t: F.exists(words_of(words), lambda w: F.contains(t, w)))
+
+
+def present(c: Column, words: list[str]) -> Column:
+    """The words the text contains, in list order."""
+    return let(c, lambda t: F.filter(words_of(words), lambda w: F.contains(t, w)))
 
 
 def first_listed(c: Column, words: list[str]) -> Column:
-    """The first word *in list order* that the text contains, else null."""
-    picked = F.when(c.contains(words[0]), F.lit(words[0]))
-    for word in words[1:]:
-        picked = picked.when(c.contains(word), F.lit(word))
-    return picked
+    """The first word *in list order* that the text contains, else null.
+
+    Substring tests over a constant array: a long WHEN chain is not faster, makes
+    generated code too long to be compiled well, and a regex alternation is slower.
+    """
+    return F.get(present(c, words), 0)
 
 
 def first_group(c: Column, groups: dict[str, list[str]]) -> Column:
     """The first group, in order, with a word in the text, ignoring case."""
-    upper = F.upper(c)
-    picked = None
-    for name, words in groups.items():
-        hit = contains_any(upper, [w.upper() for w in words])
-        picked = F.when(hit, F.lit(name)) if picked is None else picked.when(hit, F.lit(name))
-    return picked
+
+    def pick(upper: Column) -> Column:
+        picked = None
+        for name, words in groups.items():
+            hit = F.exists(words_of([w.upper() for w in words]), lambda w: F.contains(upper, w))
+            picked = F.when(hit, F.lit(name)) if picked is None else picked.when(hit, F.lit(name))
+        return picked
+
+    return let(F.upper(c), pick)
 
 
 def split_tags(c: Column | str) -> Column:

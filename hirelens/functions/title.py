@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import vocab as V
-from hirelens.functions.text import capture, col, strip, text_of
+from hirelens.functions.text import capture, col, is_listed, strip, text_of
 
 
 def clean_title(c: Column | str) -> Column:
@@ -39,7 +39,7 @@ def effective_city(city: Column | str, title: Column | str) -> Column:
     inner = F.regexp_extract(text_of(title), V.RE_TITLE_CITY, 1)
     return (
         F.when(given != "", given)
-        .when(inner.isin(V.TITLE_CITIES), inner)
+        .when(is_listed(inner, V.TITLE_CITIES), inner)
         .otherwise(F.lit(V.UNKNOWN))
     )
 

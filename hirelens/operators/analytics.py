@@ -30,9 +30,8 @@ def quantiles_by(
     floating-point order.
     """
     histogram = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        df.select(*keys, F.col(value).alias("_v")).groupBy(*keys, "_v")
+        .agg(F.count("_v").alias("_n")).where("_n > 0")
     )
     group = Window.partitionBy(*keys)
     running = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
@@ -63,7 +62,10 @@ def quantiles_by(
 def histogram_by(df: DataFrame, *keys: str, value: str = MID, width: int = 5000) -> DataFrame:
     """Row counts per group and value bucket; ``bucket`` is its lower edge (R2)."""
     low = whole_div(F.col(value), F.lit(width)) * width
-    return count_by(df.where(F.col(value).isNotNull()).withColumn("bucket", low), *keys, "bucket")
+    counts = df.withColumn("bucket", low).groupBy(*keys, "bucket").agg(
+        F.count("bucket").alias("job_count")
+    )
+    return counts.where("job_count > 0")
 
 
 def share_by(df: DataFrame, *keys: str) -> DataFrame:

@@ -170,10 +170,9 @@ def value_tags(spark, sf_dir):
 @query
 def text_signals(spark, sf_dir):
     """Percentile, deadline, board and channel marks in descriptions."""
-    k = F.col("ord")
-    desc = F.concat(
-        F.col("job_desc"), F.lit("\n薪资超"), (k % 100).cast("string"), F.lit("%同类职位\n"),
-        views.pick(k % 4, "还有3天截止", "HC充足榜", "简历直投官网"),
+    desc = F.expr(
+        "job_desc || chr(10) || '薪资超' || CAST(ord % 100 AS STRING) || '%同类职位' || chr(10) || "
+        + views.pick("ord % 4", "还有3天截止", "HC充足榜", "简历直投官网")
     )
     found = views.postings(spark, sf_dir).select(F.explode(description.signals(desc)).alias("signal"))
     return rollups.count_by(found, "signal")
@@ -183,9 +182,9 @@ def text_signals(spark, sf_dir):
 def link_fields(spark, sf_dir):
     p = views.cards(spark, sf_dir)
     link = links.absolute_link("href", views.BASE_URL)
-    listing = F.concat(
-        F.lit("https://jobs.example.com/"),
-        views.pick(F.col("card_id") % 4, "school/list", "intern/list", "fulltime/list"),
+    listing = F.expr(
+        f"'{views.BASE_URL}/' || "
+        + views.pick("card_id % 4", "school/list", "intern/list", "fulltime/list")
     )
     return p.select(
         "card_id", link.alias("link"), links.id_from_link(link).alias("job_id"),

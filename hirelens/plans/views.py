@@ -2,97 +2,149 @@
 
 Each row is derived from one order and its customer, so a view grows with the tables;
 whole-number arithmetic on the keys spreads the value combinations the rules care about.
+The formulas are SQL text that any engine reads the same way (line breaks are chr(10)).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.operators.records import enrich
+from hirelens.session import spread
 
 SITE = "jobs.example.com"
 BASE_URL = f"https://{SITE}"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def pick(index: Column, *values: str | Column, default: str | Column | None = None) -> Column:
-    """values[index]; the default when the index is past the end."""
-    chosen = None
-    for i, value in enumerate(values):
-        v = value if isinstance(value, Column) else F.lit(value)
-        chosen = F.when(index == i, v) if chosen is None else chosen.when(index == i, v)
-    if default is None:
-        return chosen.otherwise(F.lit(""))
-    return chosen.otherwise(default if isinstance(default, Column) else F.lit(default))
+def pick(index: str, *values: str, default: str = "''") -> str:
+    """SQL: values[index], the default past the end. Plain words are quoted, the rest
+    (starting with =) is taken as SQL."""
+    arms = " ".join(f"WHEN {i} THEN {_sql(v)}" for i, v in enumerate(values))
+    return f"CASE {index} {arms} ELSE {default} END"
+
+
+def _sql(value: str) -> str:
+    return value[1:] if value.startswith("=") else f"'{value}'"
+
+
+K = "CAST(o_orderkey AS STRING)"
+_SPAN = (
+    "CAST(5 + o_orderkey % 20 AS STRING) || '-' || "
+    "CAST(8 + o_orderkey % 20 + o_orderkey % 7 AS STRING)"
+)
+_SAVED = (
+    "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey % 120 AS STRING) || '位牛友收藏' || chr(10) "
+    "ELSE '' END"
+)
+_MARKS = pick(
+    "o_orderkey % 7", "", "='刚刚有人投递过' || chr(10)", "='今天有人投递' || chr(10)",
+    "='HR近期来过' || chr(10)", "='刚刚有人投递过' || chr(10) || 'HR刚刚处理简历' || chr(10)",
+)
+_WORD = pick("o_orderkey % 5", "郑州", "硕士", "腾讯", "JavaScript", "电商")
+
+POSTING_SQL = {
+    "ord": "o_orderkey",
+    "job_name": pick(
+        "o_orderkey % 6", "Java工程师（合肥）", "【25届校招】前端工程师(北京)", "为你推荐", "算法实习生",
+        "测试开发（2026届）（郑州）",
+    ),
+    "company_name": pick("o_orderkey % 8", "体验很好", "腾", "", default="c_name"),
+    "salary": (
+        "CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN '薪资面议' "
+        "WHEN o_orderkey % 17 = 0 THEN '200-300元/天' "
+        f"WHEN o_orderkey % 3 = 0 THEN {_SPAN} || 'k · 14薪' "
+        f"WHEN o_orderkey % 3 = 1 THEN {_SPAN} || 'K·' || CAST(12 + o_orderkey % 5 AS STRING) || '薪' "
+        f"ELSE {_SPAN} || 'K' END"
+    ),
+    "education": pick("o_orderkey % 5", "本科", "硕士", "博士", "不限"),
+    "city": pick("c_nationkey % 6", "", "北京", "上海", "深圳", "杭州", "成都"),
+    "job_type": pick("o_orderkey % 7", "后端开发", "前端开发", "测试", "算法"),
+    "recruit_count": pick("o_orderkey % 3", "100-499人", "10000人以上"),
+    "company_type": "c_mktsegment",
+    "company_nature": pick("o_orderkey % 4", "国企", "外企", "上市公司"),
+    "graduate_year": pick("o_orderkey % 6", "2025届", "2026届", "毕业不限"),
+    "work_days_per_week": pick("o_orderkey % 5", "3", "4", "5"),
+    "intern_duration": pick("o_orderkey % 7", "≥3个月", "6个月", "≥12个月"),
+    "has_conversion": pick("o_orderkey % 3", "是", "否"),
+    "job_desc": f"CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE {_SAVED} || {_MARKS} || {_WORD} END",
+    "job_link": f"'{BASE_URL}/jobs/detail/' || {K}",
+    "job_id": (
+        "CASE WHEN o_orderkey % 97 = 0 THEN '' "
+        f"WHEN o_orderkey % 10 = 9 THEN CAST(o_orderkey - 1 AS STRING) ELSE {K} END"
+    ),
+    "skill_tags": pick("o_orderkey % 5", "Java,Redis", "Python, SQL,", ",Go", "Java,Spark,SQL"),
+    "benefit_tags": pick("o_orderkey % 3", "五险一金,餐补", "年终奖"),
+    "career_job": "CAST(11000 + o_orderkey % 28 AS INT)",
+    "recruit_type": pick("o_orderkey % 4", "校招", "实习", "社招"),
+    "o_orderdate": "o_orderdate",
+}
+
+_CARD_LINES = [
+    pick(
+        "ord % 9", "后端开发工程师", " Java开发（北京） ", "招聘", "HR直招产品经理", "国企-校招java开发",
+        "北京", "测试工程师实习", "UI设计", default="'运营'",
+    ),
+    "salary",
+    pick("ord % 4", "北京·海淀", "上海", "", "远程"),
+    "education",
+    pick("ord % 3", "5天/周", "每周3 天 / 周"),
+    pick("ord % 5", "最少3个月", "6个月", "实习3 个月以上"),
+    pick("ord % 7", "可转正", "无转正", "不转正机会", "优秀转正"),
+    pick("ord % 6", "五险一金 餐补", "年终奖,五险一金", "带薪年假"),
+    pick("ord % 8", "MongoDB", "Java/Spring", "sql", "机器学习 NLP", "五险一金 JavaScript"),
+    pick("ord % 4", "100-499人", "10000人以上"),
+    pick("ord % 5", "某某科技有限公司", "=company_name", "公司", "优选智行", "电商"),
+    pick("ord % 6", "HR今日在线", "校招高薪榜", "毕业不限", "招2026届", "上市公司"),
+    "job_desc",
+    pick("ord % 3", "负责平台建设", "　薪资open"),
+]
+CARD_SQL = {
+    "card_id": "ord",
+    "card_text": " || chr(10) || ".join(_CARD_LINES),
+    "href": pick(
+        "ord % 6", "='/jobs/detail/' || CAST(ord AS STRING) || '?x=1'", "=job_link",
+        "='jobs/' || CAST(ord AS STRING) || '/'", "https://other.example.net/1", "",
+        default="NULL",
+    ),
+}
+
+_RECORD = (
+    """'  {"岗位名称": "' || job_name || '", "城市": "' || city || '", "薪资" : "' || salary """
+    """|| '", "job_id": ' || CAST(ord AS STRING) || ', "公司名称": "' || company_name || '"}' || """
+    + pick("ord % 2", ",")
+)
+LINE_SQL = {
+    "ord": "ord",
+    "value": pick("ord % 16", "[", " ]", "  ", "{bad", default=_RECORD),
+}
+
+PAGE_SQL = {
+    "page_id": "ord",
+    "html": (
+        """'<ul><li><a href="/about">x</a></li><li><a class="c" href="/jobs/detail/' || """
+        "CAST(ord AS STRING) || " + pick("ord % 3", "?from=list", "/")
+        + """ || '">y</a></li><li><a href="' || job_link || '">z</a></li></ul>'"""
+    ),
+}
+
+
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
-def orders_with_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer")
-    return orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def postings_of(rows: DataFrame) -> DataFrame:
     """Posting columns and ``ord`` (input order) from joined orders and customers."""
-    k, n = F.col("o_orderkey"), F.col("c_nationkey")
-    text = k.cast("string")
-    low = (k % 20 + 5).cast("string")
-    high = (k % 20 + k % 7 + 8).cast("string")
-    span = F.concat(low, F.lit("-"), high)
-    line = F.lit("\n")
-    saved = F.when(k % 2 == 0, F.concat((k % 120).cast("string"), F.lit("位牛友收藏"), line))
-    marks = pick(
-        k % 7, "", "刚刚有人投递过\n", "今天有人投递\n", "HR近期来过\n", "刚刚有人投递过\nHR刚刚处理简历\n"
-    )
-    return rows.select(
-        k.alias("ord"),
-        pick(
-            k % 6, "Java工程师（合肥）", "【25届校招】前端工程师(北京)", "为你推荐", "算法实习生",
-            "测试开发（2026届）（郑州）",
-        ).alias("job_name"),
-        pick(k % 8, "体验很好", "腾", "", default=F.col("c_name")).alias("company_name"),
-        F.when(k % 13 == 0, "")
-        .when(k % 11 == 0, "薪资面议")
-        .when(k % 17 == 0, "200-300元/天")
-        .when(k % 3 == 0, F.concat(span, F.lit("k · 14薪")))
-        .when(k % 3 == 1, F.concat(span, F.lit("K·"), (k % 5 + 12).cast("string"), F.lit("薪")))
-        .otherwise(F.concat(span, F.lit("K")))
-        .alias("salary"),
-        pick(k % 5, "本科", "硕士", "博士", "不限").alias("education"),
-        pick(n % 6, "", "北京", "上海", "深圳", "杭州", "成都").alias("city"),
-        pick(k % 7, "后端开发", "前端开发", "测试", "算法").alias("job_type"),
-        pick(k % 3, "100-499人", "10000人以上").alias("recruit_count"),
-        F.col("c_mktsegment").alias("company_type"),
-        pick(k % 4, "国企", "外企", "上市公司").alias("company_nature"),
-        pick(k % 6, "2025届", "2026届", "毕业不限").alias("graduate_year"),
-        pick(k % 5, "3", "4", "5").alias("work_days_per_week"),
-        pick(k % 7, "≥3个月", "6个月", "≥12个月").alias("intern_duration"),
-        pick(k % 3, "是", "否").alias("has_conversion"),
-        F.when(k % 9 == 0, "").otherwise(
-            F.concat(
-                F.coalesce(saved, F.lit("")), marks,
-                pick(k % 5, "郑州", "硕士", "腾讯", "JavaScript", "电商"),
-            )
-        ).alias("job_desc"),
-        F.concat(F.lit(f"{BASE_URL}/jobs/detail/"), text).alias("job_link"),
-        F.when(k % 97 == 0, "")
-        .when(k % 10 == 9, (k - 1).cast("string"))
-        .otherwise(text)
-        .alias("job_id"),
-        pick(k % 5, "Java,Redis", "Python, SQL,", ",Go", "Java,Spark,SQL").alias("skill_tags"),
-        pick(k % 3, "五险一金,餐补", "年终奖").alias("benefit_tags"),
-        (k % 28 + 11000).cast("int").alias("career_job"),
-        pick(k % 4, "校招", "实习", "社招").alias("recruit_type"),
-        "o_orderdate",
-    )
+    return _select(rows, POSTING_SQL)
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings_of(orders_with_customers(spark, sf_dir))
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    customers = table(spark, sf_dir, "customer")
+    return postings_of(orders.join(customers, orders["o_custkey"] == customers["c_custkey"]))
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,62 +154,14 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing cards: (card_id, card_text, href)."""
-    p = postings(spark, sf_dir)
-    k = F.col("ord")
-    lines = [
-        pick(
-            k % 9, "后端开发工程师", " Java开发（北京） ", "招聘", "HR直招产品经理", "国企-校招java开发",
-            "北京", "测试工程师实习", "UI设计", default="运营",
-        ),
-        F.col("salary"),
-        pick(k % 4, "北京·海淀", "上海", "", "远程"),
-        F.col("education"),
-        pick(k % 3, "5天/周", "每周3 天 / 周"),
-        pick(k % 5, "最少3个月", "6个月", "实习3 个月以上"),
-        pick(k % 7, "可转正", "无转正", "不转正机会", "优秀转正"),
-        pick(k % 6, "五险一金 餐补", "年终奖,五险一金", "带薪年假"),
-        pick(k % 8, "MongoDB", "Java/Spring", "sql", "机器学习 NLP", "五险一金 JavaScript"),
-        pick(k % 4, "100-499人", "10000人以上"),
-        pick(k % 5, "某某科技有限公司", F.col("company_name"), "公司", "优选智行", "电商"),
-        pick(k % 6, "HR今日在线", "校招高薪榜", "毕业不限", "招2026届", "上市公司"),
-        F.col("job_desc"),
-        pick(k % 3, "负责平台建设", "　薪资open"),
-    ]
-    link = pick(
-        k % 6,
-        F.concat(F.lit("/jobs/detail/"), k.cast("string"), F.lit("?x=1")),
-        F.col("job_link"),
-        F.concat(F.lit("jobs/"), k.cast("string"), F.lit("/")),
-        "https://other.example.net/1",
-        "",
-        default=F.lit(None).cast("string"),
-    )
-    return p.select(
-        k.alias("card_id"), F.concat_ws("\n", *lines).alias("card_text"), link.alias("href")
-    )
+    return _select(postings(spark, sf_dir), CARD_SQL)
 
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ord, value): lines of a pretty array file - records, brackets, blanks and junk."""
-    p = postings(spark, sf_dir)
-    k = F.col("ord")
-    record = F.concat(
-        F.lit('  {"岗位名称": "'), "job_name", F.lit('", "城市": "'), "city",
-        F.lit('", "薪资" : "'), "salary", F.lit('", "job_id": '), k.cast("string"),
-        F.lit(', "公司名称": "'), "company_name", F.lit('"}'), pick(k % 2, ",", ""),
-    )
-    return p.select(
-        "ord", pick(k % 16, "[", " ]", "  ", "{bad", default=record).alias("value")
-    )
+    return _select(postings(spark, sf_dir), LINE_SQL)
 
 
 def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, html): one small listing page per posting with a job link and another one."""
-    p = postings(spark, sf_dir)
-    k = F.col("ord")
-    html = F.concat(
-        F.lit('<ul><li><a href="/about">x</a></li><li><a class="c" href="/jobs/detail/'),
-        k.cast("string"), pick(k % 3, "?from=list", "/", ""), F.lit('">y</a></li><li><a href="'),
-        F.col("job_link"), F.lit('">z</a></li></ul>'),
-    )
-    return p.select(k.alias("page_id"), html.alias("html"))
+    return _select(postings(spark, sf_dir), PAGE_SQL)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC everywhere: landing dates and event times must not depend on the machine.
 # Partition counts are left to adaptive execution, which sizes them from the data.
@@ -37,3 +37,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="hirelens-")
     return f"{base.rstrip('/')}/hirelens/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan over all cores, when the scan has fewer tasks than there are cores.
+
+    A small file is one task whatever follows it. Rehashing its rows costs little next
+    to parsing them on one core. A large scan has more tasks than cores and is left as
+    it is: no exchange is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
