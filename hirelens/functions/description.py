@@ -15,10 +15,8 @@ def favourites(c: Column | str) -> Column:
     The substring test is much cheaper than the regex and is false for most rows.
     """
     text = text_of(c)
-    return F.when(
-        text.contains(V.FAVOURITES_MARK),
-        F.coalesce(capture_number(text, V.RE_FAVOURITES), F.lit(0).cast("bigint")),
-    ).otherwise(F.lit(0).cast("bigint"))
+    marked = F.when(text.contains(V.FAVOURITES_MARK), text)
+    return F.coalesce(capture_number(marked, V.RE_FAVOURITES), F.lit(0).cast("bigint"))
 
 
 def activity_marks(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens import vocab as V
 from hirelens.functions.numbers import whole_div
-from hirelens.functions.text import capture_number, col, text_of
+from hirelens.functions.text import capture, capture_number, col, let, text_of
 
 
 def salary_struct(c: Column | str) -> Column:
@@ -19,30 +19,26 @@ def salary_struct(c: Column | str) -> Column:
     text = text_of(c)
     raw = F.translate(text, "k ", "K")
     negotiable = raw.contains(V.NEGOTIABLE)
-
-    def bound(group: int) -> Column:
-        return F.coalesce(
-            capture_number(raw, V.RE_PAY_WITH_MONTHS, group),
-            capture_number(raw, V.RE_PAY, group),
-        )
-
-    months = F.when(
-        raw.rlike(V.RE_PAY),
-        F.coalesce(
-            capture_number(raw, V.RE_PAY_WITH_MONTHS, 3),
-            F.lit(V.DEFAULT_MONTHS).cast("bigint"),
-        ),
-    )
-    return F.when(
-        text != "",
-        F.struct(
-            F.when(~negotiable, bound(1)).alias("min"),
-            F.when(~negotiable, bound(2)).alias("max"),
-            F.when(~negotiable, months).alias("months"),
+    stated = F.when(~negotiable, raw)
+    span = F.coalesce(capture(stated, V.RE_PAY_WITH_MONTHS, 0), capture(stated, V.RE_PAY, 0))
+
+    def parts(found: Column) -> Column:
+        """Fields of a matched ``15-25K·14薪``; all null when nothing matched."""
+        low = F.substring_index(found, "-", 1)
+        high = F.substring_index(F.substring_index(found, "-", -1), "K", 1)
+        months = F.btrim(F.substring_index(found, "K", -1), F.lit("·.薪"))
+        default = F.lit(V.DEFAULT_MONTHS).cast("bigint")
+        return F.struct(
+            low.try_cast("bigint").alias("min"),
+            high.try_cast("bigint").alias("max"),
+            F.when(
+                found.isNotNull(), F.coalesce(F.nullif(months, F.lit("")).try_cast("bigint"), default)
+            ).alias("months"),
             negotiable.alias("negotiable"),
             raw.alias("raw"),
-        ),
-    )
+        )
+
+    return F.when(text != "", let(span, parts))
 
 
 def is_negotiable(c: Column | str) -> Column:
@@ -51,22 +47,28 @@ def is_negotiable(c: Column | str) -> Column:
     return (text == "") | text.contains(V.NEGOTIABLE)
 
 
-def _stated(c: Column | str, value: Column) -> Column:
-    return F.when(~is_negotiable(c), value)
+def _stated(c: Column | str) -> Column:
+    """The pay string, null when it is negotiable.
+
+    The condition is applied to the input of the patterns, not to their result: inside
+    a conditional branch Spark would run a pattern twice, for the match test and for
+    the value.
+    """
+    return F.when(~is_negotiable(c), text_of(c))
 
 
 def min_yuan(c: Column | str) -> Column:
-    return _stated(c, capture_number(text_of(c), V.RE_PAY_ANY_CASE, 1) * 1000)
+    return capture_number(_stated(c), V.RE_PAY_ANY_CASE, 1) * 1000
 
 
 def max_yuan(c: Column | str) -> Column:
-    return _stated(c, capture_number(text_of(c), V.RE_PAY_ANY_CASE, 2) * 1000)
+    return capture_number(_stated(c), V.RE_PAY_ANY_CASE, 2) * 1000
 
 
 def months_paid(c: Column | str) -> Column:
     """Months per year, wherever stated, else 12 - also when no range is readable."""
-    found = capture_number(text_of(c), V.RE_MONTHS)
-    return _stated(c, F.coalesce(found, F.lit(V.DEFAULT_MONTHS).cast("bigint")))
+    default = F.when(~is_negotiable(c), F.lit(V.DEFAULT_MONTHS).cast("bigint"))
+    return F.coalesce(capture_number(_stated(c), V.RE_MONTHS), default)
 
 
 def midpoint(low: Column | str, high: Column | str) -> Column:

@@ -77,9 +77,8 @@ def share_by(df: DataFrame, *keys: str) -> DataFrame:
     total = df.agg(F.count(F.lit(1))).scalar()
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_count"), *salary_aggs())
     # job_count is the salaried count; the mean is null when nobody states a salary
-    return stats.withColumnRenamed("job_count", "salaried_count").withColumn(
-        "share", percent(F.col("total_count"), total)
-    )
+    named = stats.withColumnRenamed("job_count", "salaried_count").withColumn("_total", total)
+    return named.withColumn("share", percent(F.col("total_count"), F.col("_total"))).drop("_total")
 
 
 def city_competition(jobs: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirelens.session import stored
+
 
 def top_k(df: DataFrame, k: int, measure: str, *tie_break: str) -> DataFrame:
     """The k largest by a measure, ties by key (O1). Runs as a per-task top-k, no full sort."""
@@ -22,8 +24,10 @@ def ranked(df: DataFrame, measure: str, name: str = "rank") -> DataFrame:
     A window over the whole table would pull every row into one task. The rank of a
     row only depends on how many rows have a larger measure, so the window runs over
     the histogram of the measure instead - for counts of N rows that is at most
-    sqrt(2N) entries - and is joined back.
+    sqrt(2N) entries - and is joined back. The table is stored first: it is read twice,
+    and what it was aggregated from should not be.
     """
+    df = stored(df, "ranked")
     histogram = df.groupBy(F.col(measure).alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(F.desc("_m")).rowsBetween(Window.unboundedPreceding, -1)
     places = histogram.select(

@@ -13,7 +13,7 @@ from hirelens.operators import analytics as A
 from hirelens.operators import cards as C
 from hirelens.operators import cleaning, dedup, quality, ranking, rollups
 from hirelens.plans import views
-from hirelens.session import scratch_dir
+from hirelens.session import scratch_dir, spread
 from hirelens.sinks import serving, topic as topic_sink
 from hirelens.sources import files, lines, pages, topic
 from hirelens.streaming import jobs as streaming
@@ -127,7 +127,7 @@ def description_fields(spark, sf_dir):
 def document_fields(spark, sf_dir):
     """The dictionary rules over the whole text of every document."""
     doc = text.strip("text")
-    return views.table(spark, sf_dir, "documents").select(
+    return spread(views.table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id",
         description.family_in_text(doc).alias("job_family"),
         description.company_in_text(doc).alias("company_candidate"),

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Recording a call site for every Column operation makes building a plan slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -48,3 +50,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a result to the shared scratch folder and read it back.
+
+    For a small result of a large scan that several steps read: the scan runs once, and
+    a lost executor costs a re-read, not a recomputation.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
