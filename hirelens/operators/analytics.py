@@ -14,8 +14,9 @@ from hirelens.functions.repair import value_tags
 from hirelens.operators.ranking import ranked, top_k
 from hirelens.operators.records import explode_skills
 from hirelens.operators.rollups import (
-    MID, city_job_count, count_by, dashboard_summary, not_blank, salary_aggs, skill_count,
+    MID, all_rollups, count_by, from_all, not_blank, salary_aggs, skill_count,
 )
+from hirelens.session import stored
 
 
 def quantiles_by(
@@ -221,15 +222,19 @@ def pivot_matrix(df: DataFrame, row: str, column: str, values: list[str]) -> Dat
 
 
 def overview(jobs: DataFrame, k: int = 10) -> DataFrame:
-    """One screen: totals, top skills and top cities as (section, name, value) rows."""
-    totals = dashboard_summary(jobs).select(
+    """One screen: totals, top skills and top cities as (section, name, value) rows.
+
+    Totals and cities come out of one reading of the postings.
+    """
+    wide = stored(all_rollups(jobs), "overview")
+    totals = from_all(wide, "dashboard_summary").select(
         F.lit("total").alias("section"), F.col("metric_name").alias("name"),
         F.col("metric_value").cast("bigint").alias("value"),
     )
     skills = top_k(skill_count(jobs), k, "count", "skill").select(
         F.lit("skill").alias("section"), F.col("skill").alias("name"), F.col("count").alias("value")
     )
-    cities = top_k(city_job_count(jobs), k, "job_count", "city").select(
+    cities = top_k(from_all(wide, "city_job_count"), k, "job_count", "city").select(
         F.lit("city").alias("section"), F.col("city").alias("name"), F.col("job_count").alias("value")
     )
     return totals.unionByName(skills).unionByName(cities)

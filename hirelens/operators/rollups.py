@@ -328,3 +328,31 @@ def from_all(rollup: DataFrame, table: str) -> DataFrame:
             F.col("salaried_count").cast("string").alias("valid_salary_jobs"),
         ).unpivot([], names, "metric_name", "metric_value")
     raise ValueError(f"{table} is not a single-key rollup")
+
+
+def all_skill_rollups(jobs: DataFrame) -> DataFrame:
+    """The measures of the three skill rollups (A3, A4, A14) from one scan and one exchange."""
+    liked = F.when(F.col("is_high_collection"), F.col("collection_count"))
+    slim = jobs.select(
+        "skills", MID, "min_salary", "max_salary", liked.alias("high_collection")
+    )
+    return explode_skills(slim).groupBy("skill").agg(
+        F.count(F.lit(1)).alias("count"),
+        *salary_aggs(),
+        F.sum("high_collection").alias("total_collection"),
+        F.count("high_collection").alias("high_count"),
+    )
+
+
+def from_all_skills(rollup: DataFrame, table: str) -> DataFrame:
+    """One skill rollup out of the result of :func:`all_skill_rollups`."""
+    if table == "skill_count":
+        return rollup.select("skill", "count")
+    if table == "skill_salary_stats":
+        stats = ["avg_salary", "min_salary", "max_salary", "job_count"]
+        return rollup.where("job_count > 0").select("skill", *stats)
+    if table == "skill_collection_rank":
+        return rollup.where("high_count > 0").select(
+            "skill", "total_collection", F.col("high_count").alias("job_count")
+        )
+    raise ValueError(f"{table} is not a skill rollup")

@@ -12,9 +12,14 @@ from hirelens.functions import description, links, numbers, repair, salary, text
 from hirelens.operators import analytics as A
 from hirelens.operators import cards as C
 from hirelens.operators import cleaning, dedup, quality, ranking, rollups
+from hirelens.operators.records import enrich
 from hirelens.plans import views
+from hirelens.plans.refresh import refresh
+from hirelens.schema import COLUMNS, SERVING
 from hirelens.session import scratch_dir, spread
-from hirelens.sinks import serving, topic as topic_sink
+from hirelens.sinks import files as file_sink
+from hirelens.sinks import serving
+from hirelens.sinks import topic as topic_sink
 from hirelens.sources import files, lines, pages, topic
 from hirelens.streaming import jobs as streaming
 
@@ -53,6 +58,7 @@ ROLLUPS = {
     "activity_salary": rollups.activity_salary,
     "high_collection_salary": rollups.high_collection_salary,
     "all_rollups": rollups.all_rollups,
+    "all_skill_rollups": rollups.all_skill_rollups,
 }
 for _name, _build in ROLLUPS.items():
     _over_jobs(_name, _build)
@@ -370,13 +376,7 @@ def strict_lines(spark, sf_dir):
 @query
 def job_counters(spark, sf_dir):
     raw = views.text_lines(spark, sf_dir)
-    return rollups.job_counters(rollups_records(lines.parse_lines(raw)), raw)
-
-
-def rollups_records(parsed: DataFrame) -> DataFrame:
-    from hirelens.operators.records import enrich
-
-    return enrich(parsed)
+    return rollups.job_counters(enrich(lines.parse_lines(raw)), raw)
 
 
 @query
@@ -425,12 +425,44 @@ def serving_internship(spark, sf_dir):
     return typed.withColumn("conversion_rate", F.col("conversion_rate").cast("double"))
 
 
+@query
+def serving_refresh(spark, sf_dir):
+    """All fifteen serving tables refreshed and read back: (table_name, key, measure)."""
+    written = refresh(views.postings(spark, sf_dir), scratch_dir(spark, "serving"))
+    rows = None
+    for name, table in written.items():
+        contract = SERVING[name]
+        part = table.current().select(
+            F.lit(name).alias("table_name"), F.col(contract.key).alias("key"),
+            F.col(contract.measures[0][0]).cast("double").alias("measure"),
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query
+def json_files(spark, sf_dir):
+    """Postings written as JSON lines and read back."""
+    path = scratch_dir(spark, "json")
+    file_sink.write_json(views.postings(spark, sf_dir).select(*COLUMNS), path)
+    return files.read_posting_lines(spark, path).select(*COLUMNS)
+
+
+@query
+def tapped_messages(spark, sf_dir):
+    """Every event message seen by the file side of the debug tap, counted by type."""
+    scratch = scratch_dir(spark, "tap")
+    events = _stream(spark, sf_dir, "events").select(F.col("event_type").alias("value"))
+    streaming.debug_tap(
+        events, f"{scratch}/out", f"{scratch}/state", log=lambda line: None, trigger=streaming.ONCE
+    ).awaitTermination()
+    return rollups.count_by(spark.read.text(f"{scratch}/out/batch=*"), "value", name="message_count")
+
+
 @query
 def export_rows(spark, sf_dir):
     """The flat export, with source key names."""
-    from hirelens.sinks.files import export_projection
-
-    return export_projection(views.postings(spark, sf_dir))
+    return file_sink.export_projection(views.postings(spark, sf_dir))
 
 
 @query
@@ -484,7 +516,7 @@ def stream_landing(spark, sf_dir):
     )
     landing.awaitTermination()
     landed = files.read_landed(spark, f"{scratch}/out").where("dt = '20260102'")
-    records = rollups_records(lines.parse_lines(landed))
+    records = enrich(lines.parse_lines(landed))
     named = records.withColumnRenamed("effective_city", "_city").select(
         "dt", F.col("_city").alias("city"), rollups.MID
     )

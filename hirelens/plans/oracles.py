@@ -705,3 +705,35 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(user_id % 3 AS INTEGER) AS partition, count(*) AS message_count FROM events GROUP BY 1"
     ),
 }
+
+ORACLES["all_skill_rollups"] = _j(
+    f"SELECT skill, count(*) AS count, {_MEAN} AS avg_salary, min(CASE WHEN mid IS NOT NULL THEN min_salary END) "
+    "AS min_salary, max(CASE WHEN mid IS NOT NULL THEN max_salary END) AS max_salary, count(mid) AS job_count, "
+    "CAST(sum(collection_count) FILTER (WHERE is_high) AS BIGINT) AS total_collection, "
+    "count(*) FILTER (WHERE is_high) AS high_count FROM skilled GROUP BY 1"
+)
+ORACLES["json_files"] = _with(POSTINGS, f"SELECT {', '.join(COLUMNS)} FROM postings")
+ORACLES["tapped_messages"] = "SELECT event_type AS value, count(*) AS message_count FROM events GROUP BY 1"
+
+# serving table -> (query that holds it, key, measure)
+_SERVED = {
+    "city_job_count": ("city_job_count", "city", "job_count"),
+    "city_salary_stats": ("city_salary_stats", "city", "avg_salary"),
+    "skill_count": ("skill_count", "skill", "count"),
+    "skill_salary_stats": ("skill_salary_stats", "skill", "avg_salary"),
+    "education_count": ("education_count", "education", "count"),
+    "education_salary_stats": ("education_salary_stats", "education", "avg_salary"),
+    "company_type_count": ("company_type_count", "company_type", "count"),
+    "recruit_type_count": ("recruit_type_count", "recruit_type", "count"),
+    "internship_stats": ("internship_stats", "city", "internship_count"),
+    "dashboard_summary": ("dashboard_summary", "metric_name", "metric_value"),
+    "high_collection_jobs": ("high_collection", "city", "high_collection_count"),
+    "active_jobs_stats": ("active_jobs", "city", "active_count"),
+    "negotiable_ratio_stats": ("negotiable_ratio", "city", "total_count"),
+    "skill_collection_rank": ("skill_collection_rank", "skill", "total_collection"),
+    "activity_salary_comparison": ("activity_salary", "activity_type", "job_count"),
+}
+ORACLES["serving_refresh"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, {key} AS key, CAST({measure} AS DOUBLE) AS measure FROM ({ORACLES[query]})"
+    for table, (query, key, measure) in _SERVED.items()
+)
