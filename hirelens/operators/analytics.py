@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens import vocab as V
 from hirelens.functions import description
 from hirelens.functions.numbers import percent, whole_div
 from hirelens.functions.repair import value_tags
-from hirelens.operators.ranking import ranked, top_k
+from hirelens.operators.ranking import ranked, running_totals, top_k
 from hirelens.operators.records import explode_skills
 from hirelens.operators.rollups import (
     MID, all_rollups, count_by, from_all, not_blank, salary_aggs, skill_count,
@@ -25,20 +25,15 @@ def quantiles_by(
     """Exact interpolated quantiles per group.
 
     Rows are first folded into (key, value, count), where map-side aggregation
-    absorbs a hot key; only that histogram - one row per distinct salary of a
-    group - is ordered per group, as a running sum that streams and can spill.
-    Positions are computed in whole hundredths, so results do not depend on
-    floating-point order.
+    absorbs a hot key; positions are found in the running totals of that histogram.
+    They are computed in whole hundredths, so results do not depend on floating-point
+    order.
     """
     histogram = (
         df.select(*keys, F.col(value).alias("_v")).groupBy(*keys, "_v")
         .agg(F.count("_v").alias("_n")).where("_n > 0")
     )
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = histogram.withColumns(
-        {"_upto": F.sum("_n").over(running), "_total": F.sum("_n").over(group)}
-    )
+    placed = running_totals(histogram, keys, F.col("_v"), "_n")
 
     def at(index: Column) -> Column:
         here = (index >= F.col("_upto") - F.col("_n")) & (index < F.col("_upto"))

@@ -173,8 +173,13 @@ RE_TITLE_BATCH = r"(20[0-9][0-9]|[23][0-9])届"
 RE_TRAILING_ID = r"/([0-9]+)/?$"
 RE_DETAIL_ID = r"/jobs/detail/([0-9]+)"
 RE_CARD_YEAR = r"20[0-9]{2}届"
-RE_CARD_DAYS = r"([0-9]+)\s*天\s*/\s*周"
-RE_CARD_TERM = r"(最少|最短|至少)?([0-9]+)\s*个月(以上)?"
+# Any Unicode whitespace, written so that every regex engine reads it the same way.
+_GAP = (
+    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}]*"
+)
+RE_CARD_DAYS = f"([0-9]+){_GAP}天{_GAP}/{_GAP}周"
+RE_CARD_TERM = f"(最少|最短|至少)?([0-9]+){_GAP}个月(以上)?"
 RE_JOB_CODE = r"J?[0-9]{5,}"
 
 # --- fixed values: thresholds ------------------------------------------------

@@ -51,6 +51,11 @@ def test_degree_hint_comes_first(spark):
     assert "硕士优先" in hinted["job_desc"] and "硕士优先" not in plain["job_desc"]
 
 
+def test_terms_allow_any_blank(spark):
+    got = parse(spark, [(1, card("算法工程师岗", "3　天 / 周", "至少 6\xa0个月"), None, None)])[0]
+    assert (got["work_days_per_week"], got["intern_duration"]) == ("3", "6个月")
+
+
 def test_rejection(spark):
     rows = [
         ("ab", "公司甲", BASE), ("算法工程师", "公司甲", "https://x.example"),

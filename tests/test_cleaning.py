@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import SF, SF_GATE
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hirelens.operators import analytics as A
@@ -131,6 +132,23 @@ def test_quantiles_of_small_groups(spark):
     assert got == {"a": (2, 1500.0, 1900.0), "b": (1, 7000.0, 7000.0)}
 
 
+def test_running_totals_over_many_ranges(spark):
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE 'k' || id % 2 END AS k", "id AS v", "id % 5 + 1 AS n"
+    )
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.running_totals(df, ["k"], F.desc("v"), "n").cache()
+        assert got.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    group = Window.partitionBy("k")
+    down = group.orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.withColumns({"_upto": F.sum("n").over(down), "_total": F.sum("n").over(group)})
+    assert same(got, expected)
+
+
 def test_profile_counts_blanks_nulls_and_empty_arrays(spark):
     df = spark.createDataFrame([("a", [1]), ("", []), (None, None)], "s string, a array<int>")
     got = {r.field: (r.filled, r.total, r.rate) for r in quality.profile(df).collect()}
