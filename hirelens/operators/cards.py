@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from hirelens import vocab as V
 from hirelens.functions.links import absolute_link, id_from_link
 from hirelens.functions.text import (
-    contains_any, first_listed, is_listed, let, present, strip, text_of, words_of,
+    contains_any, first_listed, is_listed, let, present, strip, text_of,
 )
 
 Test = Callable[[Column], Column]
@@ -98,9 +98,11 @@ def _all_words(text: Column, lines: Column, words: list[str]) -> Column:
     Sorting by first line and then by list order is the order in which a line-by-line
     search meets them. Only words that the whole text contains are looked up per line.
     """
-    names = F.transform(words_of(words), lambda w, i: F.struct(i.alias("nth"), w.alias("word")))
-    spelled = words_of([w.lower() for w in words])
-    listed = F.arrays_zip(names.alias("name"), spelled.alias("low"))
+    # a constant array of structs, folded to one literal when the query is planned
+    entries = ", ".join(
+        f"named_struct('nth', {i}, 'word', '{w}', 'low', '{w.lower()}')" for i, w in enumerate(words)
+    )
+    listed = F.expr(f"array({entries})")
 
     def find(t: Column) -> Column:
         return F.filter(listed, lambda s: F.contains(t, s["low"]))
@@ -110,8 +112,8 @@ def _all_words(text: Column, lines: Column, words: list[str]) -> Column:
             F.array_position(
                 F.transform(own, lambda line: F.contains(line, s["low"])), F.lit(True)
             ).alias("at"),
-            s["name"]["nth"].alias("nth"),
-            s["name"]["word"].alias("word"),
+            s["nth"].alias("nth"),
+            s["word"].alias("word"),
         )
 
     return F.array_sort(let(lines, lambda own: F.transform(let(text, find), place(own))))
@@ -207,7 +209,7 @@ def parse_cards(
             "_l_term": matches("个月", V.RE_CARD_TERM),
             "_l_conversion": _first_with(L, text_, V.CARD_CONVERSION_YES + V.CARD_CONVERSION_NO),
             "_benefits": _all_words(text_, L, V.CARD_BENEFITS),
-            "_skills": _all_words(F.col("_lower"), F.transform(L, F.lower), V.CARD_SKILLS),
+            "_skills": _all_words(F.col("_lower"), F.split("_lower", "\n"), V.CARD_SKILLS),
         }
     )
 
