@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens import vocab as V
@@ -289,7 +289,7 @@ def parse_cards(
     parsed = df.drop(*[c for c in df.columns if c.startswith("_")])
     # Counting the cards also keeps a later filter on a field above the parse; pushed
     # below, it would repeat the parse for every field it reads.
-    return parsed.observe(Observation(f"cards-{uuid.uuid4().hex}"), F.count(F.lit(1)).alias("cards"))
+    return parsed.observe(f"cards-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("cards"))
 
 
 def rejection(site: str) -> Column:

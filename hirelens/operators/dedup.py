@@ -20,7 +20,9 @@ def first_wins(df: DataFrame, order: list[str], key: str = "job_id") -> DataFram
     Spark rows have no order of their own, so the order columns are required. The
     ``row_number = 1`` filter becomes a group limit that each task applies before the
     exchange: a key that holds a third of all rows sends at most one row per task.
-    Rows with a blank key take no part in the exchange at all.
+    Rows with a blank key take no part in the exchange at all. For that the input is read
+    twice, once per branch; one reading would need a salt that is unique per blank row
+    and the same when a lost task runs again, which a row without a key does not have.
     """
     keyed = _first_of(df.where(strip(key) != ""), strip(key), order)
     return keyed.unionByName(df.where(strip(key) == ""))
