@@ -5,6 +5,8 @@ from conftest import SF, SF_GATE
 
 import __spark_entry__ as entry_points
 import oracle
+from hirelens.plans.catalogue import QUERIES
+from hirelens.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -13,21 +15,23 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 8
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = entry_points.queries()[name](spark, SF)
-    assert oracle.differences(df, con, entry_points.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, SF)
+    assert oracle.differences(df, con, ORACLES[name]) == []
 
 
 def rows(spark, name):
-    return [r.asDict() for r in entry_points.queries()[name](spark, SF_GATE).collect()]
+    return [r.asDict() for r in QUERIES[name](spark, SF_GATE).collect()]
 
 
 def test_known_figures(spark):
