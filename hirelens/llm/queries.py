@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import jaccard, packing, sharding
+from hirelens.llm import forest, jaccard, langid, packing, sharding
 from hirelens.llm.common import table
 
 
@@ -31,5 +31,19 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
-QUERIES = {"op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    training = docs.where(~langid.held_out(F.col("doc_id"))).select(
+        "text", "lang", F.xxhash64("doc_id").alias("order"))
+    out = langid.predict(docs.select("doc_id", "text"), langid.fit(training))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    return forest.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+QUERIES = {"op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
 ORACLES: dict[str, str] = {}
