@@ -150,8 +150,9 @@ class Law:
 
 
 def set_rows(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """doc_id, size, digest and odd sketch of every document's shingle set; docs has doc_id and text."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """Size, digest and odd sketch of every document's shingle set, with all columns of ``docs`` but the text."""
+    carried = [c for c in docs.columns if c != "text"]
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carried)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words, seed)
@@ -167,11 +168,11 @@ def set_rows(docs: DataFrame, words: int, seed: int) -> DataFrame:
             half = lambda shift: pa.array(
                 np.array([(d >> shift) & (2**64 - 1) for d in digest], np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), half(0), half(64),
+                *[batch.column(c) for c in carried], pa.array(np.diff(ends), pa.int64()), half(0), half(64),
                 pa.array([x.tobytes() for x in sketch], pa.binary()),
-            ], ["doc_id", "n", "key", "key2", "sketch"])
+            ], [*carried, "n", "key", "key2", "sketch"])
 
-    return docs.mapInArrow(describe, f"doc_id {kind}, n bigint, key bigint, key2 bigint, sketch binary")
+    return docs.mapInArrow(describe, f"{kinds}n bigint, key bigint, key2 bigint, sketch binary")
 
 
 def block_rows(docs: DataFrame, words: int, seed: int, law: Law, remember: int = 500_000) -> DataFrame:
@@ -327,16 +328,18 @@ def open_pairs(rows: DataFrame, law: Law, block: int = 1000) -> DataFrame:
     return rows.groupBy("list", "p", "q").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def similar_components(docs: DataFrame, words: int = 5, percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of ``docs``.
 
+    Columns named by ``carry`` are kept too.
+
     Words are runs without ASCII blanks, A-Z lower-cased. A text of fewer than ``words`` words is one shingle; a null
     or blank text is empty, linked with nothing, its own component. Equal texts are one class whatever their number.
     Only doc_id and text are read; ``docs`` should be a stored table. Runs several jobs when called. A null doc_id is
     the component's only if it has no other.
     """
-    docs = docs.select("doc_id", "text")
     law = Law(percent)
+    docs = docs.select("doc_id", "text", *carry)
     for seed in range(8):
         facts = store(set_rows(docs, words, seed), "facts")
         classes = facts.where("n > 0").groupBy("key").agg(
@@ -375,5 +378,5 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     own = own.select("key", F.coalesce("component_id", "own_id").alias("component_id"))
     out = facts.join(own, "key", "left")
     return out.select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", *carry, F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

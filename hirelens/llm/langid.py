@@ -140,7 +140,8 @@ def fit(training: DataFrame, per_language: int = 600, k: int = 3) -> dict:
 def predict(docs: DataFrame, model: dict, least: float = 0.02, evidence: int = 12) -> DataFrame:
     """``docs`` with lang_pred, score (the cosine, 0 to 1) and rejected.
 
-    A null text and one without a letter is ``und``, scores 0 and is rejected; so is every text of an empty model.
+    A null text and one without a letter is ``und``, scores 0 and is rejected. An empty model says ``und`` and rejects
+    no other text.
     A text of at least ``evidence`` n-grams whose cosine with its nearest centroid is under ``least`` keeps that
     language as lang_pred and is rejected; a shorter text tells too little to be called far. Equal cosines go to the language that is
     first by name. Only ``text`` is read.
@@ -165,14 +166,13 @@ def predict(docs: DataFrame, model: dict, least: float = 0.02, evidence: int = 1
                 scores.append((tf @ table[at]) / length if length > 0 else np.zeros(len(langs)))
             scores = np.array(scores).reshape(batch.num_rows, len(langs))
             letter = batch.column("__letter").to_numpy(zero_copy_only=False).astype(bool)
-            letter &= len(langs) > 0
             best = scores.argmax(axis=1) if langs else np.zeros(batch.num_rows, int)
             score = scores.max(axis=1).clip(0, 1) if langs else np.zeros(batch.num_rows)
             score = np.where(letter, score, 0.0)
-            far = (score < least) & (np.array(grams_seen) >= evidence)
+            far = (len(langs) > 0) & (score < least) & (np.array(grams_seen) >= evidence)
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(c) for c in kept],
-                pa.array([langs[b] if ok else "und" for b, ok in zip(best, letter)], pa.string()),
+                pa.array([langs[b] if ok and langs else "und" for b, ok in zip(best, letter)], pa.string()),
                 pa.array(score, pa.float64()), pa.array(~letter | far, pa.bool_()),
             ], [*kept, "lang_pred", "score", "rejected"])
 

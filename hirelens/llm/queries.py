@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import forest, jaccard, langid, packing, sharding
+from hirelens.llm import forest, jaccard, langid, merkle, packing, secret_links, sharding
 from hirelens.llm.common import table
 
 
@@ -45,5 +45,31 @@ def op5_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
-QUERIES = {"op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
+def op9_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, with their likeness."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = merkle.with_next(docs.withColumn("print", merkle.fingerprint(F.col("text"))))
+    text = merkle.edited(F.col("text"), F.col("next_text"))
+    rows = rows.select("doc_id", "text", "print", "next_print", text.alias("edited"))
+    rows = rows.withColumn("edited_print", merkle.fingerprint(F.col("edited")))
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        F.col("print").alias("fingerprint"), F.col("edited_print").alias("edited_fingerprint"),
+        merkle.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        merkle.likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+    )
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: base spans and linked parts of credentials."""
+    rows = secret_links.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return rows.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secret_links.told(F.col("base")), 256).alias("base_sha256"),
+        secret_links.told(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = {"op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
 ORACLES: dict[str, str] = {}
