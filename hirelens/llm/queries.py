@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import forest, jaccard, langid, merkle, packing, secret_links, sharding
+from hirelens.llm import forest, jaccard, langid, licences, merkle, packing, secret_links, sharding
 from hirelens.llm.common import table
 
 
@@ -71,5 +71,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
-ORACLES: dict[str, str] = {}
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digest of all documents with the licence of the whole text and the notices among its lines."""
+    rows = licences.find_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
+
+
+QUERIES = {"op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
+ORACLES: dict[str, str] = {"op6_licences": licences.oracle()}
