@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import forest, jaccard, langid, licences, merkle, packing, secret_links, sharding
+from hirelens.llm import forest, jaccard, langid, licences, merkle, packing, secret_links, sharding, surrogates
 from hirelens.llm.common import table
 
 
@@ -77,5 +77,15 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
 
 
-QUERIES = {"op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents with keyed surrogates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = surrogates.replace_personal_data(docs, key="corpus-2026")
+    told = F.transform("changes", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"], x["with"]))
+    return rows.select(
+        "doc_id", F.size("changes").cast("long").alias("n_changes"), F.array_join(told, ",").alias("changes"),
+        F.sha2(F.coalesce("new_text", F.lit("")), 256).alias("new_sha256"))
+
+
+QUERIES = {"op4_surrogates": op4_surrogates, "op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
 ORACLES: dict[str, str] = {"op6_licences": licences.oracle()}
