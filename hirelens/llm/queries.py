@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import forest, jaccard, langid, licences, merkle, packing, secret_links, sharding, surrogates
+from hirelens.llm import forest, jaccard, langid, licences, merkle, packing, pieces, secret_links, sharding, surrogates
 from hirelens.llm.common import table
 
 
@@ -87,5 +87,15 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("new_text", F.lit("")), 256).alias("new_sha256"))
 
 
-QUERIES = {"op4_surrogates": op4_surrogates, "op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all documents as count and checksum, and whether they decode to the text."""
+    rows = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"),
+        F.crc32(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_crc32"),
+        (pieces.decoded(F.col("ids")) == text).alias("round_trip"))
+
+
+QUERIES = {"op3_pieces": op3_pieces, "op4_surrogates": op4_surrogates, "op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
 ORACLES: dict[str, str] = {"op6_licences": licences.oracle()}
