@@ -8,7 +8,9 @@ Only the histogram (its size is fixed by the sequence length) is solved on the d
 
 from __future__ import annotations
 
-import re
+import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -18,13 +20,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import store
+from hirelens.llm.common import slices, store
 
 END_ID = 1
-# A space between two non-blanks always begins a new pre-token, so words can be encoded apart.
-APART = re.compile(r"^ | $| \s|\s ")
-
-
 class WordEncoder:
     """Encodes texts as little-endian 32-bit ids, remembering the ids of words.
 
@@ -34,30 +32,41 @@ class WordEncoder:
     def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.most = most
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        if len(self.known) >= self.most:
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        # Cutting at each space is right unless a word is empty or has a blank at an end; such a text goes whole.
+        parts = [t.split(" ") for t in texts]
+        missing = set().union(*(p[1:] for p in parts)).difference(self.known)
+        odd = {w for w in missing if not w or w[0].isspace() or w[-1].isspace()}
+        for i, p in enumerate(parts):
+            if len(p) > 1 and (not p[0] or p[0][-1].isspace()) or odd and not odd.isdisjoint(p[1:]):
+                parts[i] = [texts[i]]
+        if len(self.known) > self.most:
             self.known.clear()
-        out = self.known[word] = self._ids(" " + word)
-        return out
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if APART.search(text):
-            # blanks in a row: cut only where a single space stands between non-blanks
-            parts = re.split(r"(?<=\S) (?=\S)", text)
-        else:
-            parts = text.split(" ")
-        get, word = self.known.get, self._word
-        return self._ids(parts[0]) + b"".join([get(w) or word(w) for w in parts[1:]])
+            missing = set().union(*(p[1:] for p in parts))
+        missing = list(missing.difference(odd))
+        self.known.update(zip(missing, self._ids([" " + w for w in missing])))
+        known = self.known.__getitem__
+        return [head + b"".join(map(known, p[1:])) for head, p in zip(self._ids([p[0] for p in parts]), parts)]
+
+
+def shared_encoder(path: str) -> WordEncoder:
+    """The encoder of this process: a Python worker runs many tasks and keeps the words it knows.
+
+    Code that travels by value has new globals in each task, so it is kept in a module of its own.
+    """
+    held = sys.modules.setdefault("hirelens_encoders", types.ModuleType("hirelens_encoders")).__dict__
+    if path not in held:
+        held[path] = WordEncoder(path)
+    return held[path]
 
 
 def token_pieces(
@@ -73,12 +82,12 @@ def token_pieces(
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(public_tokenizers.path(vocabulary))
-        for batch in batches:
+        encoder = shared_encoder(public_tokenizers.path(vocabulary))
+        for batch in slices(batches, "text"):
             out: list[list] = [[] for _ in fields]
             rows: list[int] = []
-            for row, text in enumerate(batch.column("text")):
-                ids = encoder.encode(text.as_py() or "") + end
+            for row, ids in enumerate(encoder.encode([t or "" for t in batch.column("text").to_pylist()])):
+                ids += end
                 for at in range(0, len(ids), 4 * length):
                     piece = ids[at:at + 4 * length]
                     rows.append(row)
