@@ -88,7 +88,8 @@ def with_next(docs: DataFrame, rows_per_range: int = 2_000, most_ranges: int = 2
     shares = [i / ranges for i in range(1, ranges)]
     cuts = docs.agg(F.percentile_approx("doc_id", shares, 100_000)).first()[0] if shares else None
     ranged = docs.withColumn("range", _range_of(F.col("doc_id"), sorted(set(cuts or []))))
-    heads = sorted(ranged.groupBy("range").agg(F.min("doc_id")).collect())
+    first = F.when(~F.max(F.col("doc_id").isNull()), F.min("doc_id"))  # a null comes before all
+    heads = sorted(ranged.groupBy("range").agg(first).collect(), key=lambda r: r[0])
     # the first id of each range, and the range before it (the last range for the first one)
     before = {first: heads[i - 1][0] for i, (_, first) in enumerate(heads)}
     spark = docs.sparkSession
