@@ -61,4 +61,5 @@ def visible_company(c: Column | str) -> Column:
     """Company name without invisible characters, with a cut-off suffix completed."""
     # fixed values: zero-width characters, byte order mark, soft hyphen
     shown = F.regexp_replace(text_of(c), r"[\x{200b}-\x{200f}\x{2060}\x{feff}\x{ad}]", "")
+    shown = F.trim(shown)
     return F.when(shown.endswith("有限"), F.concat(shown, F.lit("公司"))).otherwise(shown)

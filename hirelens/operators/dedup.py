@@ -46,5 +46,6 @@ def merge_recruit_types(parts: list[DataFrame], order: list[str]) -> DataFrame:
 
 
 def with_recruit_type(df: DataFrame, name: str) -> DataFrame:
-    assert name in [n for _, n in V.RECRUIT_BY_URL] + [V.UNKNOWN], name
+    if name not in [n for _, n in V.RECRUIT_BY_URL] + [V.UNKNOWN]:
+        raise ValueError(f"unknown recruit type {name!r}")
     return df.withColumn("recruit_type", F.lit(name))

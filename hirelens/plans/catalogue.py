@@ -531,7 +531,7 @@ def stream_dedup(spark, sf_dir):
     """Users seen in the event stream, each once."""
     scratch = scratch_dir(spark, "dedup")
     events = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    seen = streaming.first_seen(events, "user_id", "ts", within="3650 days").select("user_id")
+    seen = streaming.first_seen(events, "user_id").select("user_id")
     (
         seen.writeStream.format("parquet").option("path", f"{scratch}/out")
         .option("checkpointLocation", f"{scratch}/state").trigger(**streaming.ONCE).start()

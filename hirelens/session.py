@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keys of an exact stream deduplication are kept on disk, not in memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Recording a call site for every Column operation makes building a plan slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -42,14 +45,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a scan over all cores, when the scan has fewer tasks than there are cores.
+    """Rows of a scan rehashed over as many tasks as ``spark.hirelens.spread`` says.
 
-    A small file is one task whatever follows it. Rehashing its rows costs little next
-    to parsing them on one core. A large scan has more tasks than cores and is left as
-    it is: no exchange is added.
+    Off by default. A session on one machine that parses a small file, which is one task
+    whatever follows it, may set it; it adds an exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    tasks = int(df.sparkSession.conf.get("spark.hirelens.spread", "0"))
+    return df.repartition(tasks, key) if tasks else df
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -25,7 +25,8 @@ def upsert(
 
     ``update_time`` of every row in ``delta`` becomes ``now``, rows it does not name keep
     theirs, and an existing key keeps its spelling. Several delta rows for one key: the
-    last in ``order`` wins. With a collation, keys that are equal under it are one key,
+    last in ``order`` wins, without it the one with the greatest measures, so the result
+    has one row per key. A null key is an error. With a collation, keys that are equal under it are one key,
     as in a case-insensitive database.
     """
     now = F.current_timestamp() if now is None else now
@@ -39,10 +40,12 @@ def upsert(
             {match(k): F.collate(k, collation) if collation else F.col(k) for k in keys}
         )
 
-    new = keyed(delta)
-    if order or collation:
-        last = Window.partitionBy(*map(match, keys)).orderBy(*[F.desc(c) for c in (order or keys)])
-        new = new.withColumn("_rn", F.row_number().over(last)).where("_rn = 1")
+    named = [F.when(F.col(k).isNull(), F.raise_error(F.lit(f"null key {k}")).cast(delta.schema[k].dataType))
+             .otherwise(F.col(k)).alias(k) for k in keys]
+    new = keyed(delta.select(*named, *[c for c in delta.columns if c not in keys]))
+    last = Window.partitionBy(*map(match, keys)).orderBy(
+        *[F.desc(c) for c in (order or [*measures, *keys])])
+    new = new.withColumn("_rn", F.row_number().over(last)).where("_rn = 1")
     new = new.select(
         *map(match, keys), F.struct(*keys, *measures).alias("_new"), now.alias("_now")
     )
@@ -99,7 +102,7 @@ class SnapshotTable:
     def upsert(self, delta: DataFrame, keys: list[str], now: Column | None = None, **how) -> None:
         base = self.current()
         stamped = delta.withColumn("update_time", F.current_timestamp() if now is None else now)
-        self.replace(stamped if base is None else upsert(base, delta, keys, now, **how))
+        self.replace(upsert(stamped.where("false") if base is None else base, delta, keys, now, **how))
 
 
 def upsert_sql(table: str, keys: list[str], measures: list[str], mark: str = "?") -> str:

@@ -16,7 +16,7 @@ def message_of(df: DataFrame, key: str = "job_id") -> DataFrame:
     key_name = dict(zip(df.columns, row.columns))[key]
     return row.select(
         F.nullif(text_of(f"`{key_name}`"), F.lit("")).alias("key"),
-        F.to_json(F.struct(*names)).alias("value"),
+        F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("value"),
     )
 
 

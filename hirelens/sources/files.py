@@ -21,18 +21,28 @@ def read_posting_array(spark: SparkSession, path: str, tolerant: bool = False) -
     return from_source_keys(reader.json(path))
 
 
-def read_posting_array_ordered(spark: SparkSession, path: str) -> DataFrame:
+def read_posting_array_ordered(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
     """The same, with ``_file`` and ``_pos`` as the input order that first-wins needs.
 
-    A file without a readable array yields no rows.
+    A file without a readable array is an error. With ``tolerant`` it is one row without
+    fields and place, whose ``_error`` says why; the rows of readable files have none.
+    A file is held as one string, 2 GB at most.
     """
     rows = T.ArrayType(SOURCE_POSTING)
     text = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("_file"), F.from_json("value", rows).alias("_rows")
     )
-    return from_source_keys(
-        text.select("_file", F.posexplode("_rows").alias("_pos", "_row")).select("_row.*", "_file", "_pos")
-    )
+    reason = F.lit("no readable JSON array")
+    if not tolerant:
+        failed = F.raise_error(F.concat(reason, F.lit(": "), F.col("_file"))).cast(rows)
+        text = text.withColumn("_rows", F.when(F.col("_rows").isNull(), failed).otherwise(F.col("_rows")))
+        found = text.select("_file", F.posexplode("_rows").alias("_pos", "_row"))
+        return from_source_keys(found.select("_row.*", "_file", "_pos"))
+    error = F.when(F.col("_rows").isNull(), reason).alias("_error")
+    empty = F.size(F.coalesce("_rows", F.array())) > 0
+    found = text.where(F.col("_rows").isNull() | empty).select(
+        "_file", error, F.posexplode_outer("_rows").alias("_pos", "_row"))
+    return from_source_keys(found.select("_row.*", "_file", "_pos", "_error"))
 
 
 def read_posting_lines(spark: SparkSession, path: str, strict_compat: bool = False) -> DataFrame:

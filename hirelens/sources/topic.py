@@ -11,13 +11,17 @@ from hirelens.schema import SOURCE_POSTING, from_source_keys
 
 
 def topic_options(
-    servers: str, topic: str, from_beginning: bool = True, max_per_batch: int | None = 500,
+    servers: str, topic: str, from_beginning: bool = True, max_per_batch: int | None = None,
     group_id: str | None = None, batch: bool = False,
 ) -> dict[str, str]:
     """Reader options (S6, S7): earliest or latest, and how much a batch takes.
 
-    Progress lives in the query checkpoint; there is no auto-commit to configure.
+    Progress lives in the query checkpoint; there is no auto-commit to configure. A batch
+    takes all there is unless ``max_per_batch`` says otherwise. A batch read is bounded by
+    both ends of the topic, so it takes neither option.
     """
+    if batch and (max_per_batch or not from_beginning):
+        raise ValueError("a batch read goes from the earliest to the latest message")
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

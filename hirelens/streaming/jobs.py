@@ -36,17 +36,21 @@ def land(
 
 
 def first_seen(
-    stream: DataFrame, key: str, event_time: str, within: str = "1 day"
+    stream: DataFrame, key: str, event_time: str | None = None, within: str | None = None
 ) -> DataFrame:
-    """Rows whose key was not seen within a time span; blank keys pass.
+    """Rows whose key was not seen before; blank keys pass and hold no state.
 
-    Remembering every id for ever would need state without bound; ids are forgotten
-    ``within`` after the watermark has passed them. Rows with a blank key hold no state.
+    Exact by default: every key is remembered, in the state store that the session names
+    (``SETTINGS`` name the one on disk), and no row is lost however late it is. With
+    ``within``, keys are forgotten that long after the watermark has passed them; rows
+    later than that are dropped even if their key is new, and the query progress counts
+    them (``numRowsDroppedByWatermark``).
     """
-    marked = stream.withWatermark(event_time, within)
+    marked = stream.withWatermark(event_time, within) if within else stream
     keyed = marked.where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
     blank = marked.where(F.col(key).isNull() | (F.col(key).cast("string") == ""))
-    return keyed.dropDuplicatesWithinWatermark([key]).unionByName(blank)
+    once = keyed.dropDuplicatesWithinWatermark([key]) if within else keyed.dropDuplicates([key])
+    return once.unionByName(blank)
 
 
 def partition_counts(messages: DataFrame, partition: str = "partition") -> DataFrame:

@@ -130,13 +130,47 @@ def test_messages(spark):
 
 def test_topic_options():
     read = topic.topic_options("h:9092", "jobs", from_beginning=False)
-    assert read["startingOffsets"] == "latest" and read["maxOffsetsPerTrigger"] == "500"
+    assert read["startingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in read
+    assert topic.topic_options("h:9092", "jobs", max_per_batch=7)["maxOffsetsPerTrigger"] == "7"
+    for refused in ({"max_per_batch": 7}, {"from_beginning": False}):
+        with pytest.raises(ValueError):
+            topic.topic_options("h:9092", "jobs", batch=True, **refused)
     batch = topic.topic_options("h:9092", "jobs", batch=True)
     assert (batch["startingOffsets"], batch["endingOffsets"]) == ("earliest", "latest")
     write = topic_out.publish_options("h:9092", "jobs")
     assert write["kafka.acks"] == "all" and write["kafka.compression.type"] == "gzip"
 
 
+def test_anchors_as_a_browser_reads_them(spark):
+    html = (
+        '<a href="/jobs/detail/1" data-href="/jobs/detail/2">x</a><A HREF = \'/jobs/detail/3\'>y</A>'
+        '<a data-href="/jobs/detail/4">z</a><a href="/jobs/detail/5?a=1&amp;b=2">w</a>'
+    )
+    df = spark.createDataFrame([(html,)], "html string")
+    got = [r.href for r in pages.page_links(df, "https://h").collect()]
+    assert got == ["/jobs/detail/1", "/jobs/detail/3", "/jobs/detail/5?a=1&b=2"]
+
+
+def test_cut_off_array_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"job_id": "1"}]', encoding="utf-8")
+    (tmp_path / "b.json").write_text('[{"job_id": "2"}, {"job', encoding="utf-8")
+    with pytest.raises(Exception, match="no readable JSON array"):
+        files.read_posting_array_ordered(spark, str(tmp_path)).collect()
+    rows = files.read_posting_array_ordered(spark, str(tmp_path), tolerant=True).collect()
+    assert sorted((r._file[-6:], r._error) for r in rows) == [("a.json", None), ("b.json", "no readable JSON array")]
+
+
+def test_upsert_keeps_keys_unique(spark, tmp_path):
+    table = serving.SnapshotTable(spark, str(tmp_path / "t"))
+    rows = lambda *x: spark.createDataFrame(x, "k string, n int")
+    table.upsert(rows(("a", 1), ("a", 2), ("A", 3)), ["k"], order=["n"], collation=serving.MYSQL_LIKE)
+    assert [(r.k, r.n) for r in table.current().collect()] == [("A", 3)]
+    table.upsert(rows(("b", 1), ("b", 2)), ["k"])
+    assert sorted((r.k, r.n) for r in table.current().collect()) == [("A", 3), ("b", 2)]
+    with pytest.raises(Exception, match="null key k"):
+        table.upsert(rows((None, 1)), ["k"])
+
+
 def test_page_links(spark):
     html = '<a href="/jobs/detail/12?x">a</a><a href="/x">b</a><a class="k" href="https://h/jobs/detail/13">c</a>'
     df = spark.createDataFrame([(html,)], "html string")

@@ -64,18 +64,18 @@ def test_debug_tap_fans_out(spark, source, tmp_path):
 def test_dedup_across_batches(spark, tmp_path):
     root = tmp_path / "in"
     root.mkdir()
-    days = {0: ("1", "2"), 1: ("1", "", ""), 2: ("3", "2")}
-    for i, ids in days.items():
-        with open(root / f"f{i}.json", "w", encoding="utf-8") as f:
+    days = {10: ("1", "2"), 20: ("1", "", ""), 21: ("3", "2"), 1: ("late", "3")}
+    for n, (day, ids) in enumerate(days.items()):  # the last file is older than the others
+        with open(root / f"f{n}.json", "w", encoding="utf-8") as f:
             for job in ids:
-                f.write(json.dumps({"job_id": job, "ts": f"2026-01-01 0{i}:00:00"}) + "\n")
+                f.write(json.dumps({"job_id": job, "ts": f"2026-01-{day:02} 00:00:00"}) + "\n")
     stream = (
         spark.readStream.schema("job_id string, ts timestamp").option("maxFilesPerTrigger", 1).json(str(root))
     )
     (
-        S.first_seen(stream, "job_id", "ts").writeStream.format("parquet")
+        S.first_seen(stream, "job_id").writeStream.format("parquet")
         .option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "s"))
         .trigger(**S.ONCE).start().awaitTermination()
     )
     got = sorted(r.job_id for r in spark.read.parquet(str(tmp_path / "o")).collect())
-    assert got == ["", "", "1", "2", "3"]
+    assert got == ["", "", "1", "2", "3", "late"]
