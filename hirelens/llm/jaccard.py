@@ -27,7 +27,7 @@ from hirelens.llm.common import slices, store, text_bytes
 from hirelens.llm.components import connected
 
 U64 = np.uint64
-SKETCH_BITS = 256
+SKETCH_BITS = 1024
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 
 
