@@ -27,7 +27,7 @@ from hirelens.llm.common import slices, store, text_bytes
 from hirelens.llm.components import connected
 
 U64 = np.uint64
-SKETCH_BITS = 1024
+LEAST_BITS = 256
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -149,6 +149,11 @@ class Law:
         return 100 * common >= self.percent * (a + b - common)
 
 
+def sketch_bits(sizes: np.ndarray) -> np.ndarray:
+    """Bits of an odd sketch: the power of two at or over the size of the set, so that long sets do not fill it."""
+    return np.left_shift(1, np.ceil(np.log2(np.maximum(sizes, LEAST_BITS))).astype(np.int64))
+
+
 def set_rows(docs: DataFrame, words: int, seed: int) -> DataFrame:
     """Size, digest and odd sketch of every document's shingle set, with all columns of ``docs`` but the text."""
     carried = [c for c in docs.columns if c != "text"]
@@ -162,14 +167,16 @@ def set_rows(docs: DataFrame, words: int, seed: int) -> DataFrame:
             ends = np.searchsorted(row, np.arange(n + 1))
             digest = [int.from_bytes(hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest(), "little")
                       for a, b in zip(ends[:-1], ends[1:])]
-            bits = np.bincount(row * SKETCH_BITS + ((h >> U64(7)) & U64(SKETCH_BITS - 1)).astype(np.int64),
-                               minlength=n * SKETCH_BITS) & 1
-            sketch = np.packbits(bits.reshape(n, SKETCH_BITS).astype(bool), axis=1)
+            width = sketch_bits(np.diff(ends))
+            first = np.cumsum(width) - width
+            place = ((h >> U64(7)) & (width[row] - 1).astype(np.uint64)).astype(np.int64)
+            sketch = np.packbits(np.bincount(first[row] + place, minlength=int(width.sum())).astype(np.uint8) & 1)
+            cuts = np.concatenate([first, [width.sum()]]) // 8
             half = lambda shift: pa.array(
                 np.array([(d >> shift) & (2**64 - 1) for d in digest], np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(c) for c in carried], pa.array(np.diff(ends), pa.int64()), half(0), half(64),
-                pa.array([x.tobytes() for x in sketch], pa.binary()),
+                pa.array([sketch[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary()),
             ], [*carried, "n", "key", "key2", "sketch"])
 
     return docs.mapInArrow(describe, f"{kinds}n bigint, key bigint, key2 bigint, sketch binary")
@@ -225,19 +232,35 @@ def block_rows(docs: DataFrame, words: int, seed: int, law: Law, remember: int =
     return docs.select("text").mapInArrow(cut, "block bigint, key bigint")
 
 
+def _folded(sketches: np.ndarray, wide: int) -> np.ndarray:
+    """Rows of sketches at a width of ``wide`` bytes: a half of the bits is the other half's odd sum."""
+    while sketches.shape[1] > wide:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
 def _ones(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Bits in which two columns of sketches differ: a lower bound of the elements in which the sets differ."""
-    wide = SKETCH_BITS // 8
-    both = [np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, wide) for x in (a, b)]
-    return np.bitwise_count(both[0] ^ both[1]).sum(axis=1, dtype=np.int64)
+    a, b = a.to_pylist(), b.to_pylist()
+    wide = np.array([(len(x), len(y)) for x, y in zip(a, b)])
+    out = np.zeros(len(a), np.int64)
+    for wa, wb in np.unique(wide, axis=0):
+        at = np.flatnonzero((wide == (wa, wb)).all(axis=1))
+        x, y = (_folded(np.frombuffer(b"".join([z[i] for i in at]), np.uint8).reshape(len(at), -1), min(wa, wb))
+                for z in (a, b))
+        out[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, seed: int, law: Law) -> DataFrame:
-    """Pairs (a, b) that sizes and sketches allow, with ``linked`` and the Jaccard ``distance``; others are far.
+    """Pairs (a, b) with ``linked`` and bounds ``low`` and ``high`` of their Jaccard distance.
 
-    Far pairs get distance 1. Whole sets are compared; the texts of the classes that need it are joined once.
+    Pairs that sizes and sketches allow are compared as whole sets: their bounds are equal. The others are not linked,
+    and what they differ in by size or sketch bounds their distance from below. Texts instead of sets travel to a pair,
+    as they are smaller.
     """
-    facts = classes.select("key", "n", "sketch", "doc_id")
+    facts = classes.select("key", "n", "sketch")
     both = pairs.join(facts.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
     both = both.join(facts.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
 
@@ -246,54 +269,52 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
             if not batch.num_rows:
                 continue
             na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
-            near = _ones(batch.column("sa"), batch.column("sb")) <= law.differ(na + nb)
-            near &= 100 * np.minimum(na, nb) >= law.percent * np.maximum(na, nb)
+            differ = np.maximum(_ones(batch.column("sa"), batch.column("sb")), np.abs(na - nb))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(near)], ["a", "b", "near"])
+                [batch.column("a"), batch.column("b"), pa.array(differ <= law.differ(na + nb)),
+                 pa.array(2 * differ / (na + nb + differ))], ["a", "b", "near", "low"])
 
     judged = store(both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(
-        allow, "a bigint, b bigint, near boolean"), "judged")
+        allow, "a bigint, b bigint, near boolean, low double"), "judged")
     near = judged.where("near").select("a", "b")
     needed = near.select(F.col("a").alias("key")).union(near.select(F.col("b").alias("key"))).distinct()
-    needed = needed.join(facts.select("key", "doc_id"), "key")
-    texts = docs.select("doc_id", "text").join(needed, "doc_id").select("key", "text")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words, seed)
-        for batch in slices(batches, "text"):
-            row, h = shingler.hashes(batch.column("text"))
-            ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("key"), pa.array([h[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])], pa.binary()),
-            ], ["key", "elements"])
-
-    found = store(texts.mapInArrow(sets, "key bigint, elements binary").dropDuplicates(["key"]), "sets")
-    both = near.join(found.select(F.col("key").alias("a"), F.col("elements").alias("ea")), "a")
-    both = both.join(found.select(F.col("key").alias("b"), F.col("elements").alias("eb")), "b")
+    needed = needed.join(classes.select("key", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")), "key")
+    # id and hash find a text of the class; where rows share both, one of them is taken
+    texts = docs.select("doc_id", "text").join(
+        needed, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")))
+    texts = store(texts.select("key", "text").dropDuplicates(["key"]), "texts")
+    both = near.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
+    both = both.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        shingler = Shingler(words, seed)
+        leader, x = None, np.zeros(0, np.uint64)
+        for batch in slices(batches, "tb"):
             linked, distance = [], []
-            for x, y in zip(batch.column("ea"), batch.column("eb")):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+            row, h = shingler.hashes(batch.column("tb"))
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            for i, a in enumerate(batch.column("a").to_pylist()):
+                if a != leader:  # rows of one leader come one after the other
+                    leader, x = a, shingler.hashes(batch.column("ta").slice(i, 1))[1]
+                y = h[ends[i]:ends[i + 1]]
                 at = np.searchsorted(y, x)
                 common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 linked.append(law.linked(common, len(x), len(y)))
                 distance.append(1 - common / (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(distance, pa.float64())],
-                ["a", "b", "linked", "distance"])
+                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(distance, pa.float64()),
+                 pa.array(distance, pa.float64())], ["a", "b", "linked", "low", "high"])
 
-    exact = both.select("a", "b", "ea", "eb").mapInArrow(
-        compare, "a bigint, b bigint, linked boolean, distance double")
-    far = judged.where("not near").select("a", "b", F.lit(False).alias("linked"), F.lit(1.0).alias("distance"))
+    exact = both.select("a", "b", "ta", "tb").mapInArrow(
+        compare, "a bigint, b bigint, linked boolean, low double, high double")
+    far = judged.where("not near").select("a", "b", F.lit(False).alias("linked"), "low", F.lit(1.0).alias("high"))
     return store(exact.union(far), "verified")
 
 
 def open_pairs(rows: DataFrame, law: Law, block: int = 1000) -> DataFrame:
     """Pairs of one list in different components that sizes, sketches and distances to the leader allow.
 
-    rows: list, key, label, n, sketch, distance. A list is split into blocks of rows and pairs of blocks, so that no
+    rows: list, key, label, n, sketch, low and high (bounds of the distance to the leader). A list is split into blocks of rows and pairs of blocks, so that no
     task holds more than two blocks of it.
     """
     margin = 1 - law.percent / 100 + 1e-9
@@ -304,23 +325,36 @@ def open_pairs(rows: DataFrame, law: Law, block: int = 1000) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select(
         "list", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-        "part", "key", "label", "n", "sketch", "distance")
+        "part", "key", "label", "n", "sketch", "low", "high")
 
     def compare(group: pa.Table) -> pa.Table:
         p, q = group.column("p")[0].as_py(), group.column("q")[0].as_py()
         part, key, label, n = (group.column(c).to_numpy() for c in ("part", "key", "label", "n"))
-        distance = group.column("distance").to_numpy()
-        bits = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(key), -1)
+        low, high = (group.column(c).to_numpy() for c in ("low", "high"))
+        raw = group.column("sketch").to_pylist()
+        wide = np.array([len(x) for x in raw])
+        slot, sketches = np.zeros(len(key), np.int64), {}
+        for w in np.unique(wide):
+            at = np.flatnonzero(wide == w)
+            slot[at] = np.arange(len(at))
+            sketches[w, w] = np.frombuffer(b"".join([raw[i] for i in at]), np.uint8).reshape(len(at), w)
+
+        def folded(w: int, to: int) -> np.ndarray:
+            if (w, to) not in sketches:
+                sketches[w, to] = _folded(sketches[w, w], to)
+            return sketches[w, to]
+
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in np.flatnonzero(part == p):
-            may = (part == q) & (label != label[i]) & (np.abs(distance - distance[i]) <= margin)
+            may = (part == q) & (label != label[i]) & (low - high[i] <= margin) & (low[i] - high <= margin)
             may &= 100 * np.minimum(n, n[i]) >= law.percent * np.maximum(n, n[i])
             if p == q:
                 may[:i + 1] = False
-            at = np.flatnonzero(may)
-            if len(at):
-                ones = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                at = at[ones <= law.differ(n[at] + n[i])]
+            found = np.flatnonzero(may)
+            for w in np.unique(wide[found]):
+                at, to = found[wide[found] == w], min(w, wide[i])
+                differ = folded(w, to)[slot[at]] ^ folded(wide[i], to)[slot[i]]
+                at = at[np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= law.differ(n[at] + n[i])]
                 out_a.append(np.minimum(key[at], key[i]))
                 out_b.append(np.maximum(key[at], key[i]))
         return pa.table({"a": pa.array(np.concatenate(out_a)), "b": pa.array(np.concatenate(out_b))})
@@ -340,10 +374,12 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80, carry
     """
     law = Law(percent)
     docs = docs.select("doc_id", "text", *carry)
+    hashed = docs.withColumn("__hash", F.xxhash64("text"))
     for seed in range(8):
-        facts = store(set_rows(docs, words, seed), "facts")
+        facts = store(set_rows(hashed, words, seed), "facts")
         classes = facts.where("n > 0").groupBy("key").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+            F.coalesce(F.min_by("__hash", "doc_id"), F.min("__hash")).alias("hash"),
             (F.min("key2") != F.max("key2")).alias("clash"))
         classes = store(classes, "classes")
         if classes.where("clash").isEmpty():
@@ -363,9 +399,9 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80, carry
     mixed = labelled.groupBy("block").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
     # the same sets often share several blocks: a list is told by its leader, once per set
     rest = labelled.join(mixed.select("block"), "block", "left_semi").where("key <> leader")
-    rest = rest.join(first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "distance"), ["leader", "key"])
+    rest = rest.join(first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "low", "high"), ["leader", "key"])
     rest = rest.join(classes.select("key", "n", "sketch"), "key")
-    rest = rest.select(F.col("block").alias("list"), "key", "label", "n", "sketch", "distance").distinct()
+    rest = rest.select(F.col("block").alias("list"), "key", "label", "n", "sketch", "low", "high").distinct()
     pairs = store(open_pairs(rest, law), "pairs")
     if not pairs.isEmpty():
         second = verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), classes, docs, words, seed, law)
