@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,30 @@ def test_jaccard_equals_brute_force(spark, none, words, percent):
     assert jaccard.similar_components(none).count() == 0
 
 
+def test_far_leader_excludes_no_link(spark):
+    """A leader that is far by an unknown distance leaves its list's other pairs open; a bound that is known does not."""
+    sketch = bytes(32)
+    rows = [("x", 1, 0.21, 1.0), ("x", 2, 0.1, 0.1), ("y", 3, 0.9, 1.0), ("y", 4, 0.1, 0.1)]
+    table = spark.createDataFrame(
+        [(7 if x == "x" else 8, key, key, 100, sketch, low, high) for x, key, low, high in rows],
+        "list long, key long, label long, n long, sketch binary, low double, high double")
+    assert [tuple(r) for r in jaccard.open_pairs(table, jaccard.Law(80)).collect()] == [(1, 2)]
+
+
+def test_sketches_bound_the_difference(spark):
+    """Sketches of sets of any two sizes differ in no more bits than the sets in elements."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.permutation(WORDS * 3)[:n].tolist()) for n in (3, 40, 250, 270, 500, 530, 1100)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = sorted(jaccard.set_rows(table, 2, 0).collect(), key=lambda r: r.doc_id)
+    sets = [shingles(t, 2) for t in texts]
+    assert len({len(r.sketch) for r in rows}) > 2
+    pairs = [(i, j) for i in range(len(rows)) for j in range(len(rows))]
+    column = lambda k: pa.array([bytes(rows[p[k]].sketch) for p in pairs], pa.binary())
+    for (i, j), ones in zip(pairs, jaccard._ones(column(0), column(1))):
+        assert ones <= len(sets[i] ^ sets[j]) and (i != j or ones == 0)
+
+
 def test_repeated_ids_and_null_ids(docs):
     rows = jaccard.similar_components(docs).collect()
     assert len(rows) == docs.count()
