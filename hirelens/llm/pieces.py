@@ -51,39 +51,61 @@ def byte_ids(vocabulary: str) -> list[int]:
     return [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
-def encoded_words(words: DataFrame, pieces: list[tuple[int, str, float]], bytes_: list[int]) -> DataFrame:
-    """word and ids of each distinct word (column ``word``)."""
+def encoded_words(words: DataFrame, pieces: list[tuple[int, str, float]], bytes_: list[int],
+                  part: int = 400_000) -> DataFrame:
+    """word and ids of each distinct word (column ``word``).
+
+    Words are dealt by word once, ``part`` characters to a partition; substrings, edges and paths of a word stay there.
+    """
     spark = words.sparkSession
     longest = max(len(p) for _, p, _ in pieces)
     # The piece table has the fixed size of its vocabulary.
     table = F.broadcast(spark.createDataFrame(pieces, "id int, piece string, score double"))
     n = F.length("word")
-    start = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("low"))
+    parts = (words.agg(F.sum(n)).first()[0] or 0) // part + 1
+    start = words.select("word").repartition(parts, "word").select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("low"))
     spans = start.select("word", "low", F.explode(F.sequence(
         F.col("low") + 1, F.least(F.col("low") + longest, n))).alias("high"))
     spans = spans.withColumn("piece", F.expr("substring(word, low + 1, high - low)"))
-    known = spans.join(table, "piece").select("word", "high", "low", "score", F.array("id").alias("ids"))
-    code = F.lit(bytes_)
-    hexed = F.hex(F.encode(F.expr("substring(word, low + 1, 1)"), "utf-8"))
-    raw = F.transform(F.sequence(F.lit(1), F.expr("cast(octet_length(substring(word, low + 1, 1)) as int)")), lambda i: (
-        F.element_at(code, F.conv(F.substring(hexed, i * 2 - 1, F.lit(2)), 16, 10).cast("int") + 1)))
-    fallback = start.select("word", (F.col("low") + 1).alias("high"), "low", raw.alias("ids"))
-    fallback = fallback.select("word", "high", "low", (F.size("ids") * BYTE_SCORE).alias("score"), "ids")
-    edges = known.unionByName(fallback).groupBy("word").agg(
-        F.array_sort(F.collect_list(F.struct("high", "low", "score", "ids"))).alias("edges"))
-    # state: best score and path of each position so far; edges come by end, so the last entry is the one in work
-    zero = F.struct(F.array(F.lit(0.0)).alias("best"), F.expr("array(cast(array() as array<int>))").alias("path"))
+    # a character that is no piece falls back to its bytes; minus its place stands for them until the path is known
+    found = spans.join(table, "piece", "left").where("id is not null or high = low + 1")
+    id_ = F.coalesce("id", -F.col("high"))
+    score = F.coalesce("score", F.octet_length("piece") * F.lit(BYTE_SCORE))
+    edges = found.groupBy("word").agg(F.sort_array(F.collect_list(F.struct(
+        "high", "low", score.alias("score"), id_.alias("id")))).alias("edges"))
+    # state: best scores and paths up to the last finished position; position, score and edge of the one in work
+    zero = F.expr("named_struct('at', 0, 'top', 0D, 'low', 0, 'id', 0, 'best', cast(array() as array<double>), "
+                  "'path', cast(array() as array<array<int>>))")
+    none = F.expr("cast(array() as array<int>)")
+
+    def state(at, top, low, id_, best, path) -> Column:
+        return F.struct(at.alias("at"), top.alias("top"), low.alias("low"), id_.alias("id"),
+                        best.alias("best"), path.alias("path"))
+
+    def finished(acc: Column) -> Column:
+        """Path of the position in work."""
+        own = F.concat(F.element_at(acc["path"], acc["low"] + 1), F.array(acc["id"]))
+        return F.when(acc["at"] == 0, none).otherwise(own)
 
     def step(acc: Column, e: Column) -> Column:
-        score = F.element_at(acc["best"], e["low"] + 1) + e["score"]
-        path = F.concat(F.element_at(acc["path"], e["low"] + 1), e["ids"])
-        cut = lambda a: F.slice(a, F.lit(1), e["high"])
-        put = F.struct(F.concat(cut(acc["best"]), F.array(score)).alias("best"),
-                       F.concat(cut(acc["path"]), F.array(path)).alias("path"))
-        better = (F.size(acc["best"]) == e["high"]) | (score > F.element_at(acc["best"], F.lit(-1)))
-        return F.when(better, put).otherwise(acc)
-
-    return edges.select("word", F.aggregate("edges", zero, step, lambda acc: F.element_at(acc["path"], F.lit(-1))).alias("ids"))
+        before = F.when(e["low"] == acc["at"], acc["top"]).otherwise(F.element_at(acc["best"], e["low"] + 1))
+        score = before + e["score"]
+        moved = state(e["high"], score, e["low"], e["id"], F.concat(acc["best"], F.array(acc["top"])),
+                      F.concat(acc["path"], F.array(finished(acc))))
+        better = state(acc["at"], score, e["low"], e["id"], acc["best"], acc["path"])
+        return F.when(e["high"] != acc["at"], moved).when(score > acc["top"], better).otherwise(acc)
+
+    paths = edges.select("word", F.aggregate("edges", zero, step, finished).alias("ids"))
+    code = F.lit(bytes_)
+
+    def raw(place: Column) -> Column:
+        char = F.substring("word", place, F.lit(1))
+        hexed = F.hex(F.encode(char, "utf-8"))
+        return F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda i: F.element_at(
+            code, F.conv(F.substring(hexed, i * 2 - 1, F.lit(2)), 16, 10).cast("int") + 1))
+
+    whole = F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(raw(-i))))
+    return paths.select("word", F.when(F.array_min("ids") < 0, whole).otherwise(F.col("ids")).alias("ids"))
 
 
 def word_counts(docs: DataFrame, most: int = 300_000) -> DataFrame:
