@@ -11,7 +11,7 @@ from hirelens.functions import repair as R
 from hirelens.functions import salary as S
 from hirelens.functions import title as T
 from hirelens.functions.text import strip, text_of
-from hirelens.operators.dedup import first_wins
+from hirelens.operators.dedup import first_wins, row_key
 from hirelens.schema import COLUMNS
 
 PROVENANCE = ["company_from", "city_from", "degree_from", "job_type_from"]
@@ -121,14 +121,21 @@ def cleaning_report(raw: DataFrame, order: list[str]) -> DataFrame:
     """Counters of a cleaning run as (metric, value) rows.
 
     The three row counts are always present; a named counter that stays at zero is not.
+    One reading: the aggregate that keeps the first row of an id also counts its rows.
     """
-    kept = repair_fields(first_wins(raw, order))
+    first = raw.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(row_key(order))]).agg(
+        F.min_by(F.struct(*raw.columns), F.struct(*order)).alias("_row"), F.count(F.lit(1)).alias("_rows")
+    )
+    kept = repair_fields(first.select("_row.*", "_rows"))
 
     def came(column: str, value: str) -> Column:
         return F.count_if(F.col(column) == value)
 
+    rows_in, rows_out = F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))
     counters = {
-        "output_count": F.count(F.lit(1)),
+        "input_count": rows_in,
+        "total_processed": rows_in,
+        "output_count": rows_out,
         "high_value_count": F.count_if(F.size("value_tags") > 0),
         "company_restored_from_desc": came("company_from", "desc"),
         "company_unknown": came("company_from", "unknown"),
@@ -136,23 +143,10 @@ def cleaning_report(raw: DataFrame, order: list[str]) -> DataFrame:
         "city_restored_from_desc": came("city_from", "desc"),
         "degree_restored_from_desc": came("degree_from", "desc"),
         "type_restored_from_desc": came("job_type_from", "desc"),
-        "duplicate_content_warning": F.count(F.lit(1)) - F.count_distinct("content_key"),
-        "duplicate_id": -F.count(F.lit(1)),
+        "duplicate_content_warning": rows_out - F.count_distinct("content_key"),
+        "duplicate_id": rows_in - rows_out,
     }
-    outputs = kept.agg(*[agg.alias(name) for name, agg in counters.items()])
-    inputs = raw.agg(
-        F.count(F.lit(1)).alias("input_count"),
-        F.count(F.lit(1)).alias("total_processed"),
-        F.count(F.lit(1)).alias("duplicate_id"),
-    )
-
-    def long(df: DataFrame) -> DataFrame:
-        return df.unpivot([], df.columns, "metric", "value")
-
     always = ["input_count", "output_count", "high_value_count"]
-    # duplicate_id = rows in - rows out
-    return (
-        long(inputs).unionByName(long(outputs))
-        .groupBy("metric").agg(F.sum("value").alias("value"))
-        .where(F.col("metric").isin(always) | (F.col("value") > 0))
-    )
+    totals = kept.agg(*[agg.alias(name) for name, agg in counters.items()])
+    long = totals.unpivot([], list(counters), "metric", "value")
+    return long.where(F.col("metric").isin(always) | (F.col("value") > 0))

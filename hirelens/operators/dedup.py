@@ -9,28 +9,31 @@ from hirelens import vocab as V
 from hirelens.functions.text import strip
 
 
-def _first_of(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
-    window = Window.partitionBy(key).orderBy(*order)
+def _first_of(df: DataFrame, key: list[Column], order: list[str]) -> DataFrame:
+    window = Window.partitionBy(*key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
+def row_key(order: list[str], key: str = "job_id") -> list[Column]:
+    """What first-wins groups by: the key, and for a blank key the row's own place."""
+    return [strip(key), F.when(strip(key) == "", F.struct(*order))]
+
+
 def first_wins(df: DataFrame, order: list[str], key: str = "job_id") -> DataFrame:
     """Keep the first row, in the given order, of every non-blank key; keep all blank keys.
 
-    Spark rows have no order of their own, so the order columns are required. The
-    ``row_number = 1`` filter becomes a group limit that each task applies before the
-    exchange: a key that holds a third of all rows sends at most one row per task.
-    Rows with a blank key take no part in the exchange at all. For that the input is read
-    twice, once per branch; one reading would need a salt that is unique per blank row
-    and the same when a lost task runs again, which a row without a key does not have.
+    Spark rows have no order of their own, so the order columns are required; together
+    they identify a row, as a place in the input does. Blank keys are told apart by them,
+    so the input is read once. The ``row_number = 1`` filter becomes a group limit that
+    each task applies before the exchange: a key that holds a third of all rows sends at
+    most one row per task, and blank keys spread over all tasks.
     """
-    keyed = _first_of(df.where(strip(key) != ""), strip(key), order)
-    return keyed.unionByName(df.where(strip(key) == ""))
+    return _first_of(df, row_key(order, key), order)
 
 
 def first_content(cleaned: DataFrame, order: list[str]) -> DataFrame:
     """Keep the first row of every company + title + city (D3)."""
-    return _first_of(cleaned, F.col("content_key"), order)
+    return _first_of(cleaned, [F.col("content_key")], order)
 
 
 def merge_recruit_types(parts: list[DataFrame], order: list[str]) -> DataFrame:
@@ -45,6 +48,16 @@ def merge_recruit_types(parts: list[DataFrame], order: list[str]) -> DataFrame:
     return first_wins(everything, ["_part", *order]).drop("_part")
 
 
+def merge_by_recruit_type(df: DataFrame, names: dict[str, str], order: list[str]) -> DataFrame:
+    """The same for listings that are one table: ``names`` has its recruit types, first ones
+    first, and what they are called; rows of other types are left out. Reads the table once."""
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("recruit_type"))
+    listed = df.withColumn("_part", place).where("_part > 0")
+    kept = first_wins(listed, ["_part", *order])
+    called = F.element_at(F.array(*map(F.lit, names.values())), F.col("_part").cast("int"))
+    return kept.withColumn("recruit_type", called).drop("_part")
+
+
 def with_recruit_type(df: DataFrame, name: str) -> DataFrame:
     if name not in [n for _, n in V.RECRUIT_BY_URL] + [V.UNKNOWN]:
         raise ValueError(f"unknown recruit type {name!r}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,21 @@ def compare_profiles(before: DataFrame, after: DataFrame, columns: list[str]) ->
     )
 
 
+def change_by(df: DataFrame, step: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
+    """The same for a row-wise step that keeps further columns, from one reading and one aggregate."""
+    done = step(df.withColumns({f"_was_{c}": F.col(c) for c in columns}))
+    wide = done.agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.count_if(_filled(done, c)).alias(c) for name in columns for c in (f"_was_{name}", name)],
+    )
+    rate = lambda c: percent(F.col(c), F.col("_total"))
+    fields = [F.struct(F.lit(c).alias("field"), rate(f"_was_{c}").alias("rate_before"), rate(c).alias("rate_after"))
+              for c in columns]
+    return wide.select(F.inline(F.array(*fields))).withColumn(
+        "change", F.round(F.col("rate_after") - F.col("rate_before"), 2)
+    )
+
+
 def review_sample(df: DataFrame, key: str, n: int = 50, seed: str = "review") -> DataFrame:
     """n rows for manual review.
 

@@ -194,22 +194,17 @@ def activity_salary(jobs: DataFrame) -> DataFrame:
     return salary_stats_by(jobs.withColumn("activity_type", kind), "activity_type")
 
 
-def job_counters(records: DataFrame, lines: DataFrame) -> DataFrame:
-    """Rows in, rows parsed, corrupt rows and high-collection matches, as name/value rows.
+def job_counters(records: DataFrame) -> DataFrame:
+    """Lines in, rows parsed, corrupt rows and high-collection matches, as name/value rows.
 
-    ``lines`` are the raw text lines and ``records`` the enriched rows parsed from
-    them, with the ``corrupt_line`` column of :func:`hirelens.sources.lines.parse_lines`.
+    ``records`` are enriched rows of :func:`hirelens.sources.lines.parse_lines` with ``keep_all``.
     """
-    read = lines.agg(F.count(F.lit(1)).alias("lines_in")).unpivot(
-        [], ["lines_in"], "counter", "value"
-    )
-    names = ["records_out", "parse_errors", "matched_jobs"]
-    parsed = records.agg(
-        F.count_if(F.col("corrupt_line").isNull()).alias("records_out"),
+    return records.agg(
+        F.count(F.lit(1)).alias("lines_in"),
+        F.count_if(F.col("is_record") & F.col("corrupt_line").isNull()).alias("records_out"),
         F.count("corrupt_line").alias("parse_errors"),
         F.count_if(F.col("is_high_collection")).alias("matched_jobs"),
-    ).unpivot([], names, "counter", "value")
-    return read.unionByName(parsed)
+    ).unpivot([], ["lines_in", "records_out", "parse_errors", "matched_jobs"], "counter", "value")
 
 
 # --- one pass for every single-key rollup --------------------------------------

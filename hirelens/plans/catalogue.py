@@ -15,7 +15,7 @@ from hirelens.operators import cleaning, dedup, quality, ranking, rollups
 from hirelens.operators.records import enrich
 from hirelens.plans import views
 from hirelens.plans.refresh import refresh
-from hirelens.schema import COLUMNS, SERVING
+from hirelens.schema import COLUMNS, SERVING, SOURCE_KEYS
 from hirelens.session import scratch_dir, spread
 from hirelens.sinks import files as file_sink
 from hirelens.sinks import serving
@@ -257,11 +257,20 @@ def normalised_titles(spark, sf_dir):
 @query
 def union_recruit_types(spark, sf_dir):
     p = views.postings(spark, sf_dir).select("ord", "job_id", "recruit_type")
-    parts = [
-        dedup.with_recruit_type(p.where(F.col("recruit_type") == given), name)
-        for given, name in [("校招", "校招"), ("实习", "实习"), ("社招", "社招"), ("", V.UNKNOWN)]
-    ]
-    return dedup.merge_recruit_types(parts, ["ord"])
+    names = {"校招": "校招", "实习": "实习", "社招": "社招", "": V.UNKNOWN}
+    return dedup.merge_by_recruit_type(p, names, ["ord"])
+
+
+@query
+def repaired_values(spark, sf_dir):
+    """Invisible characters, a cut-off suffix and pay left in the title."""
+    rough = views.postings(spark, sf_dir).select(
+        "ord",
+        F.expr(views.pick("ord % 3", "某\u200b有限", "某有限 ", default="company_name")).alias("company_name"),
+        F.concat("job_name", F.expr(views.pick("ord % 3", "15-25K", "20k~30k"))).alias("job_name"),
+        F.lit("").alias("salary"),
+    )
+    return cleaning.normalise_titles(rough).select("ord", "company_name", "salary")
 
 
 # --- analytics -----------------------------------------------------------------
@@ -350,7 +359,7 @@ def quality_profile(spark, sf_dir):
 def quality_change(spark, sf_dir):
     raw = views.postings(spark, sf_dir)
     fields = ["job_name", "company_name", "city", "education", "job_type"]
-    return quality.compare_profiles(raw, cleaning.repair_fields(raw), fields)
+    return quality.change_by(raw, cleaning.repair_fields, fields)
 
 
 @query
@@ -375,8 +384,14 @@ def strict_lines(spark, sf_dir):
 
 @query
 def job_counters(spark, sf_dir):
-    raw = views.text_lines(spark, sf_dir)
-    return rollups.job_counters(enrich(lines.parse_lines(raw)), raw)
+    return rollups.job_counters(enrich(lines.parse_lines(views.text_lines(spark, sf_dir), keep_all=True)))
+
+
+@query
+def line_city_count(spark, sf_dir):
+    """A rollup over lines with junk among them."""
+    records = lines.valid_records(lines.parse_lines(views.text_lines(spark, sf_dir)))
+    return rollups.count_by(records, "city")
 
 
 @query
@@ -448,6 +463,61 @@ def json_files(spark, sf_dir):
     return files.read_posting_lines(spark, path).select(*COLUMNS)
 
 
+@query
+def json_array(spark, sf_dir):
+    """Postings written as files of one JSON array each and read back."""
+    path = scratch_dir(spark, "arrays")
+    posting = F.struct(*[F.col(c).alias(k) for k, c in SOURCE_KEYS.items()])
+    rows = views.postings(spark, sf_dir)
+    arrays = rows.groupBy(F.floor(F.col("ord") / 5000)).agg(F.to_json(F.collect_list(posting)).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return files.read_posting_array_ordered(spark, path).select(*COLUMNS)
+
+
+@query
+def high_value_file(spark, sf_dir):
+    """The rows with a value tag, written and read back."""
+    path = scratch_dir(spark, "high-value")
+    file_sink.write_high_value(cleaning.clean_postings(views.postings(spark, sf_dir), ["ord"]), path)
+    return spark.read.schema("ord bigint, job_id string, collection_count bigint").json(path)
+
+
+@query
+def report_file(spark, sf_dir):
+    """The report of a cleaning run, written and read back."""
+    path = scratch_dir(spark, "report")
+    file_sink.write_report(cleaning.cleaning_report(views.postings(spark, sf_dir), ["ord"]), path)
+    return spark.read.schema("metric string, value bigint").json(path)
+
+
+@query
+def csv_file(spark, sf_dir):
+    """The flat export as CSV, read back."""
+    path = scratch_dir(spark, "csv")
+    postings = views.postings(spark, sf_dir)
+    file_sink.export_csv(postings, path)
+    schema = file_sink.export_projection(postings).schema
+    # a null value other than blank keeps quoted blanks apart from nulls
+    return spark.read.schema(schema).options(header=True, escape='"', multiLine=True, nullValue="\\N").csv(path)
+
+
+@query
+def tsv_file(spark, sf_dir):
+    """A tab-separated result that replaces an earlier one, read back."""
+    path = scratch_dir(spark, "tsv")
+    counts = rollups.city_job_count(views.jobs(spark, sf_dir))
+    file_sink.write_tsv(counts.where("job_count < 0"), path)
+    file_sink.write_tsv(counts, path, replace=True)
+    return spark.read.schema(counts.schema).option("sep", "\t").csv(path)
+
+
+@query
+def taken_messages(spark, sf_dir):
+    """How many messages a reader gets that stops after a hundred."""
+    sent = topic_sink.posting_messages(views.postings(spark, sf_dir).select("job_id", "job_name"))
+    return topic.take_messages(sent, 100).agg(F.count(F.lit(1)).alias("message_count"))
+
+
 @query
 def tapped_messages(spark, sf_dir):
     """Every event message seen by the file side of the debug tap, counted by type."""
@@ -516,7 +586,7 @@ def stream_landing(spark, sf_dir):
     )
     landing.awaitTermination()
     landed = files.read_landed(spark, f"{scratch}/out").where("dt = '20260102'")
-    records = enrich(lines.parse_lines(landed))
+    records = enrich(lines.valid_records(lines.parse_lines(landed)))
     named = records.withColumnRenamed("effective_city", "_city").select(
         "dt", F.col("_city").alias("city"), rollups.MID
     )

@@ -713,6 +713,22 @@ ORACLES["all_skill_rollups"] = _j(
     "count(*) FILTER (WHERE is_high) AS high_count FROM skilled GROUP BY 1"
 )
 ORACLES["json_files"] = _with(POSTINGS, f"SELECT {', '.join(COLUMNS)} FROM postings")
+ORACLES["json_array"] = ORACLES["json_files"]
+ORACLES["high_value_file"] = _with(
+    CLEANED, f"SELECT ord, job_id, collection_count FROM ({FLAT} WHERE value_tags <> '')"
+)
+ORACLES["report_file"] = ORACLES["cleaning_report"]
+ORACLES["csv_file"] = ORACLES["export_rows"]
+ORACLES["tsv_file"] = ORACLES["city_job_count"]
+ORACLES["taken_messages"] = _with(POSTINGS, "SELECT least(count(*), 100) AS message_count FROM postings")
+ORACLES["line_city_count"] = _with(
+    POSTINGS, "SELECT city, count(*) AS job_count FROM postings WHERE ord % 16 > 3 GROUP BY 1"
+)
+ORACLES["repaired_values"] = _with(
+    POSTINGS,
+    "SELECT ord, CASE WHEN ord % 3 < 2 THEN '某有限公司' ELSE company_name END AS company_name, "
+    "CASE ord % 3 WHEN 0 THEN '15-25K' WHEN 1 THEN '20-30K' ELSE '' END AS salary FROM postings",
+)
 ORACLES["tapped_messages"] = "SELECT event_type AS value, count(*) AS message_count FROM events GROUP BY 1"
 
 # serving table -> (query that holds it, key, measure)

@@ -30,8 +30,9 @@ def export_projection(df: DataFrame, source_keys: bool = True) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header, quotes doubled, line breaks kept inside quotes (K4, R14). No BOM."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with header, quotes doubled, line breaks and outer blanks kept (K4, R14). No BOM."""
+    exact = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(**exact).csv(path)
 
 
 def export_csv(df: DataFrame, path: str, source_keys: bool = True) -> None:

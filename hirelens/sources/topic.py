@@ -51,9 +51,13 @@ def text_messages(messages: DataFrame) -> DataFrame:
 
 
 def message_rows(messages: DataFrame) -> DataFrame:
-    """Posting columns of JSON messages next to their position."""
+    """Posting columns of JSON messages next to their position.
+
+    A message that is no JSON object has its text in ``corrupt_line`` and null fields.
+    """
     where = [c for c in ("key", "topic", "partition", "offset") if c in messages.columns]
-    row = F.from_json("value", T.StructType(SOURCE_POSTING.fields))
+    schema = T.StructType([*SOURCE_POSTING.fields, T.StructField("corrupt_line", T.StringType())])
+    row = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt_line"})
     return from_source_keys(messages.select(*where, row.alias("_row")).select(*where, "_row.*"))
 
 

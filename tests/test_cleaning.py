@@ -9,6 +9,7 @@ from hirelens.operators import analytics as A
 from hirelens.operators import cleaning, dedup, quality, ranking, rollups
 from hirelens.operators.records import enrich
 from hirelens.plans import views
+from hirelens.plans.catalogue import QUERIES
 from hirelens.plans.refresh import refresh
 from hirelens.schema import SERVING
 
@@ -48,6 +49,32 @@ def test_first_wins_limits_a_hot_key_before_the_exchange(spark):
     assert kept.count() == 20001
 
 
+@pytest.mark.parametrize("name", [
+    "dedup_first_wins", "cleaned_postings", "cleaning_report", "union_recruit_types", "job_counters", "quality_change",
+])
+def test_one_reading(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 1
+
+
+def test_hot_and_blank_ids(spark):
+    df = spark.range(0, 3000, 1, 6).selectExpr(
+        "id AS ord", "CASE id % 10 WHEN 0 THEN 'hot' WHEN 1 THEN 'hot' WHEN 2 THEN 'hot' WHEN 3 THEN ' ' "
+        "WHEN 4 THEN NULL WHEN 5 THEN '' ELSE CAST(id AS STRING) END AS job_id"
+    )
+    kept = dedup.first_wins(df, ["ord"])
+    assert kept.count() == 1 + 900 + 1200 and kept.agg(F.min("ord")).first()[0] == 0
+    merged = dedup.merge_by_recruit_type(df.withColumn("recruit_type", F.expr("if(ord % 2 = 0, 'b', 'a')")),
+                                         {"a": "x", "b": "y"}, ["ord"])
+    assert merged.count() == kept.count()
+    assert merged.where("job_id = 'hot'").select("ord", "recruit_type").collect() == [(1, "x")]
+
+
+def test_empty_report(raw):
+    got = {r.metric: r.value for r in cleaning.cleaning_report(raw.limit(0), ["ord"]).collect()}
+    assert got == {"input_count": 0, "output_count": 0, "high_value_count": 0}
+
+
 def test_dedup_is_idempotent_and_ignores_row_order(raw):
     once = dedup.first_wins(raw, ["ord"])
     assert same(dedup.first_wins(once, ["ord"]).select("ord"), once.select("ord"))
