@@ -18,10 +18,13 @@ LONG_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*
 # A run that is long enough is matched by the bounded pattern exactly where the unbounded one matches it.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-# Weak parts: named identifiers, short or unnamed secrets, endpoints.
-IDENTIFIER = r"""(?i)\b(?:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})"""
-WEAK_SECRET = r"""(?i)\b(?:pwd|pass|private_?key|client_?secret|auth_?key|password|passwd|secret)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=!@#$%^&*-]{4,})"""
-ENDPOINT = r"""(?i)\b(?:(?:https?|ftp|jdbc|postgres|mysql|redis|mongodb|amqp)://[^\s"'<>]{4,}|(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{4,})"""
+# Weak parts: named identifiers, short or unnamed secrets, endpoints. A name may have a prefix of words (DB_, aws-, awsDev);
+# the prefix is bounded, and a longer one is left before the match.
+_PREFIX = r"""(?i)(?<![A-Za-z0-9])(?:[A-Za-z0-9]{1,32}+[_-]){0,4}(?-i:[A-Z]?[a-z0-9]{1,16}+(?=[A-Z])){0,4}"""
+_IS = r"""["']?[\x20\t]*[:=][\x20\t]*["']?"""
+IDENTIFIER = _PREFIX + r"""(?:(?<!secret)(?<!secret[_-])access[_-]?key(?:[_-]?id)?|key[_-]?id|(?:client|account|app|application|tenant|user)[_-]?id|(?:user|account|login)[_-]?name|user|uid|login|e?mail)""" + _IS + r"""([A-Za-z0-9_.@+-]{3,})"""
+WEAK_SECRET = _PREFIX + r"""(?:pwd|pass|pass[_-]?(?:phrase|code|word)|passwd|(?:private|auth|api|account|secret|(?:secret|shared)[_-]?access)[_-]?key|(?:client|app|consumer)[_-]?secret|(?:auth|access|refresh|session|api)[_-]?token|token|secret)""" + _IS + r"""([A-Za-z0-9+/_.=!@#$%^&*-]{4,})"""
+ENDPOINT = r"""(?i)\b(?:https?|s?ftp|jdbc|postgres(?:ql)?|mysql|mariadb|mssql|sqlserver|rediss?|mongodb(?:\+srv)?|amqps?|ldaps?|smtps?)://[^\s"'<>]{4,}|""" + _PREFIX + r"""(?:host|host[_-]?name|hosts|server|endpoint|db[_-]?name|database|data[_-]?source|bucket|(?:base[_-]?|service[_-]?)?ur[il])""" + _IS + r"""[A-Za-z0-9._-]{3,}"""
 KINDS = ("assign", "access", "hex", "part_id", "part_secret", "part_endpoint")
 BIN = 4096
 PLACED = "struct<start:int,kind:int,end:int>"
