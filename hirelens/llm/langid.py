@@ -18,6 +18,9 @@ from hirelens.llm.common import long_column, slices, text_bytes
 
 FEATURES = 1 << 13
 HAS_LETTER = r"\p{L}"
+# Classes of texts by their number of n-grams, and the bytes that training texts are also cut to, so that each is met.
+CLASSES = np.array([32, 64, 128, 256, 1024])
+CUTS = (30, 48, 96, 192, 512)
 
 
 class Grams:
@@ -109,12 +112,35 @@ def clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def fit(training: DataFrame, per_language: int = 600, k: int = 3) -> dict:
+def floors(texts: list[str], idf: np.ndarray, centroids: np.ndarray, evidence: int, quantile: float,
+           share: float, enough: int = 20) -> np.ndarray:
+    """For each class of n-gram counts the cosine under which a text is too far from its language.
+
+    It is ``share`` of a low quantile of the cosines that training texts (whole, and cut short) have with the nearest
+    centroid of their own language. A class with less than ``enough`` of them takes the floor of shorter texts, which
+    is the lower one as a rule; without any it is 0.
+    """
+    grams, sizes, own = Grams(), [], []
+    for most in (*CUTS, None):
+        cut = [t.encode()[:most].decode(errors="ignore") for t in texts]
+        for counts in grams.counts(pa.array(cut, pa.string())):
+            if counts.sum() >= evidence:
+                sizes.append(counts.sum())
+                own.append((centroids @ weights(counts, idf)).max())
+    kind, own, out = np.searchsorted(CLASSES, sizes, "right"), np.array(own), np.zeros(len(CLASSES) + 1)
+    for k in range(len(out)):
+        held = own[kind == k] if len(own) else own
+        out[k] = share * np.quantile(held, quantile) if len(held) >= enough else out[k - 1] if k else 0
+    return out
+
+
+def fit(training: DataFrame, per_language: int = 600, k: int = 3, quantile: float = 0.01,
+        share: float = 0.8, evidence: int = 12) -> dict:
     """A model from ``training`` (columns text, lang, order).
 
     Document frequencies cover all its rows. Centroids are clustered from at most ``per_language`` documents of each
     language, those least by ``order``; a row without text, letters or language teaches nothing. Languages are few
-    (codes), so that their centroids are a small table. Ties in ``order`` go by text. The model may be empty.
+    (codes), so that their centroids are a small table. Each language gets floors of the cosine, see there. Ties in ``order`` go by text. The model may be empty.
     """
     training = training.where(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER))
     n, held = document_frequencies(training)
@@ -131,13 +157,16 @@ def fit(training: DataFrame, per_language: int = 600, k: int = 3) -> dict:
         texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
         rows = np.array([np.log1p(c).astype(np.float32) for c in grams.counts(texts)]) * idf.astype(np.float32)
         centroids = clusters(unit(rows), k).astype(np.float64)
+        least = floors(texts.to_pylist(), idf, centroids, evidence, quantile, share)
         return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * len(centroids)),
-                         "centroid": pa.array(centroids.tolist(), pa.list_(pa.float64()))})
+                         "centroid": pa.array(centroids.tolist(), pa.list_(pa.float64())),
+                         "floors": pa.array([least.tolist()] * len(centroids), pa.list_(pa.float64()))})
 
-    found = sample.select("lang", "text", "order").groupBy("lang").applyInArrow(learn, "lang string, centroid array<double>")
-    rows = sorted((r["lang"], r["centroid"]) for r in found.collect())
-    return {"idf": idf, "langs": [lang for lang, _ in rows],
-            "centroids": np.array([c for _, c in rows]).reshape(-1, FEATURES)}
+    found = sample.select("lang", "text", "order").groupBy("lang").applyInArrow(
+        learn, "lang string, centroid array<double>, floors array<double>")
+    rows = sorted((r["lang"], r["centroid"], r["floors"]) for r in found.collect())
+    return {"idf": idf, "langs": [r[0] for r in rows], "centroids": np.array([r[1] for r in rows]).reshape(-1, FEATURES),
+            "floors": np.array([r[2] for r in rows]).reshape(-1, len(CLASSES) + 1)}
 
 
 def predict(docs: DataFrame, model: dict, least: float = 0.02, evidence: int = 12) -> DataFrame:
@@ -145,8 +174,8 @@ def predict(docs: DataFrame, model: dict, least: float = 0.02, evidence: int = 1
 
     A null text and one without a letter is ``und``, scores 0 and is rejected. An empty model says ``und`` and rejects
     no other text.
-    A text of at least ``evidence`` n-grams whose cosine with its nearest centroid is under ``least`` keeps that
-    language as lang_pred and is rejected; a shorter text tells too little to be called far. Equal cosines go to the language that is
+    A text of at least ``evidence`` n-grams whose cosine with its nearest centroid is under the floor that fit() found for
+    that language and length, or under ``least``, keeps that language as lang_pred and is rejected; a shorter text tells too little to be called far. Equal cosines go to the language that is
     first by name. Only ``text`` is read.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
@@ -155,6 +184,7 @@ def predict(docs: DataFrame, model: dict, least: float = 0.02, evidence: int = 1
     flagged = docs.withColumn("__letter", has_letter)
     langs, idf = model["langs"], model["idf"]
     # a cosine is (counts' weights . centroid) / length, and idf is folded into the centroids
+    lowest = np.maximum(model["floors"], least)
     table = (model["centroids"] * idf).T.astype(np.float64) if langs else np.zeros((FEATURES, 0))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +202,9 @@ def predict(docs: DataFrame, model: dict, least: float = 0.02, evidence: int = 1
             best = scores.argmax(axis=1) if langs else np.zeros(batch.num_rows, int)
             score = scores.max(axis=1).clip(0, 1) if langs else np.zeros(batch.num_rows)
             score = np.where(letter, score, 0.0)
-            far = (len(langs) > 0) & (score < least) & (np.array(grams_seen) >= evidence)
+            seen = np.array(grams_seen)
+            under = score < lowest[best, np.searchsorted(CLASSES, seen, "right")] if langs else np.zeros(len(seen), bool)
+            far = under & (seen >= evidence)
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(c) for c in kept],
                 pa.array([langs[b] if ok and langs else "und" for b, ok in zip(best, letter)], pa.string()),

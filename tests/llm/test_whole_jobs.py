@@ -1,9 +1,10 @@
 """Inputs of each corpus operator that the test tables do not hold."""
 
-import pytest  # noqa: F401
 from pyspark.sql import functions as F
 
-from hirelens.llm import secret_links
+from hirelens.llm import langid, secret_links
+
+SF_GATE = "/root/testdata/sf0.01"
 
 
 def test_secret_parts_with_prefixed_names(spark):
@@ -24,3 +25,25 @@ def test_secret_parts_with_prefixed_names(spark):
     assert kinds(2) == ["part_id", "part_secret"] and "hunter22" not in rows[2].t
     assert rows[3].s == rows[5].s == ""
     assert kinds(4) == ["part_id", "part_secret"] and "hunter22" not in rows[4].t
+
+
+UNSEEN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    "SGVsbG8gd29ybGQgdGhpcyBpcyBhIHRlc3Qgb2YgYmFzZTY0IGVuY29kaW5nIGFuZCBpdCBzaG91bGQgYmUgcmVqZWN0ZWQgYnkgdGhl" * 3,
+    "qxzvkw jzxqwv kqzjxv wvqzkx zzqxjk vkwqzx " * 20,
+]
+
+
+def test_language_rejects_unseen_languages_and_junk(spark):
+    """Trained on the test documents: what it never met is far, its own held-out documents are not."""
+    docs = spark.read.parquet(f"{SF_GATE}/documents.parquet")
+    training = docs.where(~langid.held_out(F.col("doc_id"))).select("text", "lang", F.xxhash64("doc_id").alias("order"))
+    model = langid.fit(training)
+    unseen = spark.createDataFrame([(t,) for t in UNSEEN], "text string")
+    assert all(r.rejected for r in langid.predict(unseen, model).collect())
+    own = docs.where(langid.held_out(F.col("doc_id")) & (F.length("text") > 40)).where(F.col("text").rlike(r"\p{L}"))
+    judged = langid.predict(own.select("text"), model)
+    assert judged.where("rejected").count() <= 0.01 * judged.count()
