@@ -75,14 +75,22 @@ def _byte(draw: Column, i: Column) -> Column:
 
 def _mapped(draw: Column, text: Column) -> Column:
     """Each letter by one of its script and sort (vowel or consonant), each digit by a digit; the rest stays."""
-    sets = [("aeiouäöüáéíóúàèìòùâêîôûëï", "aeiou"), ("bcdfghjklmnpqrstvwxyzñçß", "bcdfghklmnprstvz"),
+    # letters that no later set names go by their script
+    sets = [(r"\p{IsLatin}", "bcdfghklmnprstvz"), (r"\p{IsCyrillic}", "бвгдзклмнпрст"), (r"\p{IsGreek}", "βγδζθκλμνξπρστ"),
+            (r"\p{IsArmenian}", "բգդզթժլխծկհղճմնշչպջռսվտրցփք"), (r"\p{IsGeorgian}", "ბგდვზთკლმნპჟრსტფქღყშჩცძწჭხჯჰ"),
+            (r"(?:(?!\p{IsLatin}|\p{IsCyrillic}|\p{IsGreek}|\p{IsArmenian}|\p{IsGeorgian})\p{L})", "bcdfghklmnprstvz"),
+            ("աեէըիոօ", "աեէըիոօ"), ("აეიოუ", "აეიოუ"), ("іїєў", "аеиоу"),
+            ("ăắằẳẵặấầẩẫậạảãẹẻẽếềểễệịỉĩọỏõốồổỗộơớờởỡợụủũưứừửữựýỳỷỹỵāēīōūąęįųėıåæøœő\u0171", "aeiou"),
+            ("aeiouäöüáéíóúàèìòùâêîôûëï", "aeiou"), ("bcdfghjklmnpqrstvwxyzñçß", "bcdfghklmnprstvz"),
             ("аеиоуыэюяё", "аеиоу"), ("бвгджзйклмнпрстфхцчшщъь", "бвгдзклмнпрст"),
             ("αεηιουωάέήίόύώ", "αεηιουω"), ("βγδζθκλμνξπρσςτφχψ", "βγδζθκλμνξπρστ"), ("0123456789", "0123456789")]
 
     def one(c: Column, i: Column) -> Column:
         out = c
         for old, new in sets:
-            out = F.when(F.lit(old).contains(c), F.substring(F.lit(new), _byte(draw, i) % len(new) + 1, F.lit(1))).otherwise(out)
+            # (an empty string would be in every set)
+            met = c.rlike(old) if old.startswith(("\\p", "(?:")) else F.lit(old).contains(c) & (c != "")
+            out = F.when(met, F.substring(F.lit(new), _byte(draw, i) % len(new) + 1, F.lit(1))).otherwise(out)
         return out
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -119,7 +127,9 @@ def assign(entities: DataFrame, key: str, rounds: int = 40) -> DataFrame:
     """A surrogate for every entity (kind, norm), no two alike in a kind and none that is a real entity's norm.
 
     Each round stores its winners (the least norm of those that drew the same) and the rest draws again, so later
-    rounds are small. Raises ValueError if entities are left after all rounds.
+    rounds are small. Who is left after all rounds, or after one without a winner, gets a numbered surrogate: numbers
+    differ, so those that remain only meet surrogates given before and real entities, and then go on with a longer
+    number. Numbers longer than every norm meet none, so this ends.
     """
     real = entities.select("kind", F.col("norm").alias("surrogate"))
     won, rest = None, entities
@@ -134,7 +144,56 @@ def assign(entities: DataFrame, key: str, rounds: int = 40) -> DataFrame:
         rest = store(rest.join(winners.select("kind", "norm"), ["kind", "norm"], "left_anti"), "rest")
         if rest.isEmpty():
             return won
-    raise ValueError("no distinct surrogate found for some entities")
+        if winners.isEmpty():
+            break
+    digits = 2
+    while not rest.isEmpty():
+        ranked = numbered(rest, key)
+        digits = max(digits, len(f"{ranked.agg(F.max('number')).first()[0]:x}"))
+        drawn = ranked.withColumn("surrogate", extended(key, rounds, F.col("kind"), F.col("norm"), F.col("number"), digits))
+        free = drawn.join(real, ["kind", "surrogate"], "left_anti")
+        if won is not None:
+            free = free.join(won.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
+        winners = store(free.select("kind", "norm", "surrogate"), "won")
+        won = winners if won is None else won.union(winners)
+        rest = store(rest.join(winners.select("kind", "norm"), ["kind", "norm"], "left_anti"), "rest")
+        digits += 1
+    return won
+
+
+def numbered(entities: DataFrame, key: str, parts: int = 256) -> DataFrame:
+    """``entities`` with number: distinct and from 0 on, in an order that the key decides, with no task for all."""
+    order = F.sha2(F.concat_ws("\u0001", F.lit(key), "kind", "norm"), 256)
+    rows = entities.withColumn("__order", order).withColumn("__part", F.pmod(F.xxhash64("__order"), F.lit(parts)))
+    sizes = rows.groupBy("__part").count()  # a fixed number of rows at most
+    before = F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.join(F.broadcast(sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))), "__part")
+    place = F.row_number().over(Window.partitionBy("__part").orderBy("__order", "kind", "norm"))
+    return store(rows.select("kind", "norm", (F.col("__before") + place - 1).alias("number")), "numbered")
+
+
+def extended(key: str, attempt: int, kind: Column, norm: Column, number: Column, digits: int) -> Column:
+    """A drawn surrogate made longer by ``number`` in ``digits`` places, so that different numbers never meet.
+
+    Numbers are written with letters of the name's script, or with decimal digits, three to a place.
+    """
+    drawn = surrogate(key, attempt, kind, norm)
+    places = F.lpad(F.lower(F.hex(number)), digits, "0")
+    code = F.translate(places, "0123456789abcdef", "abdefghiklmnoprs")
+    for script, letters in (("Cyrillic", "абвгдезиклмнопрс"), ("Greek", "αβγδεζηθικλμνξοπ"),
+                            ("Armenian", "աբգդեզէըթիլխծկհղ"), ("Georgian", "აბგდევზთიკლმნოპჟ")):
+        code = F.when(norm.rlike(rf"\p{{Is{script}}}"), F.translate(places, "0123456789abcdef", letters)).otherwise(code)
+    decimal = F.lpad(number.cast("string"), 3 * digits, "0")
+    body = F.concat(drawn, decimal)
+    check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
+    card = F.when(luhn_sum(norm) % 10 == 0, F.concat(body, check.cast("string"))).otherwise(body)
+    # octets that no address has, one more than needed for each place beyond the first two
+    octet = lambda i: (F.floor(number / 256 ** i).cast("bigint") % 256 + 1000 * (digits - 1) + 300).cast("string")
+    last = F.substring(drawn, F.length(drawn), F.lit(1))
+    stem = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
+    return (F.when(kind == "ip", F.concat_ws(".", *[octet(i) for i in (3, 2, 1, 0)]))
+            .when(kind == "card", card).when(kind == "phone", body).when(kind == "email", F.concat(code, drawn))
+            .when(kind.isin("given_f", "given_m"), F.concat(stem, code, last)).otherwise(F.concat(drawn, code)))
 
 
 def _shaped(kind: Column, value: Column, new: Column) -> Column:
@@ -143,6 +202,8 @@ def _shaped(kind: Column, value: Column, new: Column) -> Column:
         new, F.length(F.regexp_replace(F.substring(value, F.lit(1), i + 1), "[^0-9]", "")), F.lit(1))).otherwise(c)), "")
     cased = (F.when(value == F.upper(value), F.upper(new)).when(value == F.lower(value), new)
              .when(kind == "email", new).otherwise(F.initcap(new)))
+    digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
+    filled = F.concat(filled, F.substring(new, digits + 1, F.length(new)))  # of a surrogate with more digits
     return F.when(kind.isin("phone", "card"), filled).when(kind == "ip", new).otherwise(cased)
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hirelens.llm import langid, secret_links
+from hirelens.llm import langid, secret_links, surrogates
 
 SF_GATE = "/root/testdata/sf0.01"
 
@@ -47,3 +47,20 @@ def test_language_rejects_unseen_languages_and_junk(spark):
     own = docs.where(langid.held_out(F.col("doc_id")) & (F.length("text") > 40)).where(F.col("text").rlike(r"\p{L}"))
     judged = langid.predict(own.select("text"), model)
     assert judged.where("rejected").count() <= 0.01 * judged.count()
+
+
+def test_surrogates_for_entities_that_draws_do_not_serve(spark):
+    names = ["Li", "Wu", "Hu", "Ma", "He"] + [c + v for c in "BCDFGKLMNPRSTVZ" for v in "aeiou"] + ["Đỗ", "Ձձ"]
+    texts = [f"Mr {n} came" for n in names] + ["write to -@-.com"] + [f"to {c}@b.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = surrogates.replace_personal_data(table, "k").collect()
+    new = {r.text: r.changes[0]["with"].lower() for r in rows}
+    real = {n.lower() for n in names} | {t.split()[-1] for t in texts[len(names):]}
+    assert len(new) == len(set(texts)) == len(set(new.values())) and not real & set(new.values())
+
+
+def test_numbered_surrogates_are_distinct(spark):
+    cases = [("ip", "10.0.0.1"), ("ip", "10.0.0.2"), ("card", "4111111111111111"), ("phone", "15551234567"), ("given_f", "ada"), ("surname", "ձձ")]
+    entities = spark.createDataFrame(cases, "kind string, norm string")
+    rows = surrogates.assign(entities, "k", rounds=0).collect()
+    assert len(rows) == len({(r.kind, r.surrogate) for r in rows}) == len(cases)
