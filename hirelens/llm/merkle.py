@@ -55,13 +55,52 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def differing(a: Column, b: Column) -> Column:
-    """Paths of the leaves of ``a`` that ``b`` has nowhere: structs of section, paragraph, leaf (from 0) and digest."""
-    there = leaves(b)
-    sections = F.filter(F.split(F.substring_index(a, ":", -1), r"\|"), lambda x: x != "")
-    paths = F.flatten(F.transform(sections, lambda s, i: F.flatten(F.transform(F.split(s, ";"), lambda p, j: F.transform(
-        F.split(p, ","), lambda x, k: F.struct(
-            i.alias("section"), j.alias("paragraph"), k.alias("leaf"), x.alias("digest")))))))
-    return F.filter(paths, lambda x: ~F.array_contains(there, x["digest"]))
+    """Where a and b differ: ordered structs of change, section, paragraph, leaf (from 0) and digest.
+
+    The walk goes down from the roots. Sections, then paragraphs, then leaves are aligned: equal ones at both ends fall
+    away; between them, those at the same place are compared and unequal ones walked into. A leaf is ``changed`` (the
+    path and digest of ``a``), ``removed`` (of ``a``, without a partner in ``b``) or ``inserted`` (of ``b``, without a
+    partner in ``a``). A branch is told from another by the digests of all its leaves. Equal roots have no differences.
+    """
+    none = F.expr("cast(array() as array<string>)")
+
+    def children(node: Column, by: str) -> Column:
+        return F.when(node.isNull() | (node == ""), none).otherwise(F.split(node, by))
+
+    def ends(x: Column, y: Column) -> Column:
+        """Numbers of equal children at the beginning and, of the others, at the end."""
+        least = F.least(F.size(x), F.size(y))
+        run = lambda u, v, most: F.aggregate(
+            F.arrays_zip(F.slice(u, F.lit(1), most).alias("u"), F.slice(v, F.lit(1), most).alias("v")),
+            F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")),
+            lambda acc, p: F.struct((acc["n"] + (acc["on"] & (p["u"] == p["v"])).cast("int")).alias("n"),
+                                    (acc["on"] & (p["u"] == p["v"])).alias("on")), lambda acc: acc["n"])
+        head = run(x, y, least)
+        return F.struct(head.alias("head"), run(F.reverse(x), F.reverse(y), least - head).alias("tail"))
+
+    def walk(x: Column, y: Column, visit) -> Column:
+        """What ``visit`` gives for each pair of children that differ; a missing partner is null."""
+        e = ends(x, y)
+        pairs = F.transform(F.array(e), lambda e: F.zip_with(
+            F.slice(x, e["head"] + 1, F.size(x) - e["head"] - e["tail"]),
+            F.slice(y, e["head"] + 1, F.size(y) - e["head"] - e["tail"]),
+            lambda u, v: F.struct(u.alias("u"), v.alias("v"), e["head"].alias("head"))))
+        found = F.transform(F.element_at(pairs, 1), lambda p, i: F.struct(p["u"].alias("u"), p["v"].alias("v"), (p["head"] + i).alias("at")))
+        return F.transform(F.filter(found, lambda p: ~p["u"].eqNullSafe(p["v"])), visit)
+
+    def leaf(section: Column, paragraph: Column):
+        return lambda p: F.struct(
+            F.when(p["u"].isNull(), "inserted").when(p["v"].isNull(), "removed").otherwise("changed").alias("change"),
+            section.alias("section"), paragraph.alias("paragraph"), p["at"].alias("leaf"),
+            F.coalesce(p["u"], p["v"]).alias("digest"))
+
+    def paragraph(section: Column):
+        return lambda p: walk(children(p["u"], ","), children(p["v"], ","), leaf(section, p["at"]))
+
+    tree = lambda x: children(F.substring_index(x, ":", -1), r"\|")
+    found = F.flatten(walk(tree(a), tree(b), lambda p: F.flatten(
+        walk(children(p["u"], ";"), children(p["v"], ";"), paragraph(p["at"])))))
+    return F.when(root(a) == root(b), F.slice(found, 1, 0)).otherwise(found)
 
 
 def _range_of(doc_id: Column, cuts: list[int]) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hirelens.llm import langid, secret_links, surrogates
+from hirelens.llm import langid, merkle, secret_links, surrogates
 
 SF_GATE = "/root/testdata/sf0.01"
 
@@ -64,3 +64,12 @@ def test_numbered_surrogates_are_distinct(spark):
     entities = spark.createDataFrame(cases, "kind string, norm string")
     rows = surrogates.assign(entities, "k", rounds=0).collect()
     assert len(rows) == len({(r.kind, r.surrogate) for r in rows}) == len(cases)
+
+
+def test_merkle_locates_repeated_moved_and_removed_leaves(spark):
+    cases = [("x. A. B. A.", "x. A. B. B."), ("One.\n\nTwo.\n\n", "Two.\n\nOne.\n\n"), ("a.\na.\nb.", "a.\nb."), ("a.\nb.", "a.\na.\nb."), ("a", "a")]
+    table = spark.createDataFrame(cases, "a string, b string").coalesce(1)
+    a, b = merkle.fingerprint(F.col("a")), merkle.fingerprint(F.col("b"))
+    found = [[(x.change, x.section, x.paragraph, x.leaf) for x in r.d] for r in table.select(merkle.differing(a, b).alias("d")).collect()]
+    assert found == [[("changed", 0, 0, 3)], [("changed", 0, 0, 0), ("changed", 1, 0, 0)],
+                     [("removed", 0, 1, 0)], [("inserted", 0, 1, 0)], []]
