@@ -15,16 +15,28 @@ from hirelens.llm.common import match_spans, replace_spans, store
 # What is looked for.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+"
 IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)"
-PHONE = r"(?<!\w)\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,4}(?!\d)"
-CARD = r"(?<![\d.])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\d.]*\d)"
-FEMALE = r"(?:Mrs|Ms|Miss|Frau|Mme|Señora|Sra|Г-жа)"
-MALE = r"(?:Mr|Herr|Señor|Sr|Г-н)"
-NAME = rf"(?<!\p{{L}})(?:{FEMALE}|{MALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
-ANY = "|".join((EMAIL, IP, PHONE, CARD, NAME))
+# Phones: international; area code in brackets; 3-3-4; a leading 0 with 9 to 12 digits; any after a word for a phone.
+_SAID = r"(?<=(?:[Tt]el|TEL|[Tt]elefono|[Tt]eléfono|[Tt]elefon|[Tt]éléphone|[Tt]él|[Pp]hone|PHONE|[Ff]on|[Ff]ax|FAX|[Mm]obile|[Mm]obil|[Mm]óvil|[Hh]andy|[Cc]ell|[Тт]ел)[.:]{0,2}\x20{0,2})"
+PHONE = (r"(?:(?<!\w)\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,4}(?!\d)"
+         r"|(?<![\w.+)-])\(0?\d{2,4}\)[ -]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)"
+         r"|(?<![\w.+/:-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d/]|[ .-]\d)"
+         r"|(?<![\w.,+/:-])0(?=(?:[ /-]?\d){8,11}(?!\d|[ /-]\d))\d{1,4}[ /-]\d{2,8}(?:[ /-]\d{2,8}){0,4}(?![\w/:]|[ .-]\d)"
+         rf"|(?=[(\d])(?<!\w){_SAID}\(?\d(?:[ ./()-]{{0,2}}\d){{6,14}}(?!\d))")
+# Cards: 13 to 19 digits in one, or grouped 4-4-4-4(-3), 4-6-5, 4-6-4, 4-4-5, 6-13.
+CARD_FORM = r"(?:\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{4}[ -]\d{4}[ -]\d{5}|\d{6}[ -]\d{13}|\d{13,19})"
+CARD = rf"(?<![\d.]){CARD_FORM}(?![\d.]*\d)"
+FEMALE = r"(?:Mrs|Ms|Miss|Frau|Fräulein|Mme|Mlle|Madame|Mademoiselle|Lady|Señora|Señorita|Srta|Sra|Doña|Dra|Г-жа|Госпожа)"
+MALE = r"(?:Mr|Mister|Herr|Monsieur|Sir|Señor|Sr|Don|Г-н|Господин)"
+BOTH = r"(?:Dr|Doctor|Doktor|Docteur|Prof|Professor|Professeur|Mx|Доктор|(?:[Mm]y|[Ff]ull|[Cc]ontact) name(?: is|:)|Name:|[Ii]ch heiße|[Jj]e m'appelle|[Mm]e llamo)"
+TITLE = rf"(?:{FEMALE}|{MALE}|{BOTH}|M(?=\.))"
+NAME = rf"(?<!\p{{L}}){TITLE}\.? (?:{TITLE}\.? )*\p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
+ANY = "|".join((EMAIL, IP, CARD, PHONE, NAME))
 PART = "struct<start:int,end:int,kind:string,norm:string,value:string>"
 
 
-TITLES = ("Mrs", "Ms", "Miss", "Frau", "Mme", "Señora", "Sra", "Г-жа", "Mr", "Herr", "Señor", "Sr", "Г-н")
+TITLES = ("Mr", "Ms", "Miss", "Mister", "Frau", "Fräulein", "Mme", "Mlle", "Madame", "Mademoiselle", "Lady", "Señor", "Srta",
+          "Sra", "Sr", "Doña", "Don", "Dr", "Г-", "Господин", "Госпожа", "Herr", "Monsieur", "Sir", "M.", "Doctor", "Doktor",
+          "Docteur", "Prof", "Mx", "Доктор", "name", "Name", "heiße", "appelle", "llamo")
 
 
 def may_mention(text: Column) -> Column:
@@ -46,18 +58,21 @@ def mentions(text: Column) -> Column:
         v, start, end = x["value"], x["start"], x["end"]
         part = lambda s, e, kind, norm, value: F.struct(
             s.alias("start"), e.alias("end"), kind.alias("kind"), norm.alias("norm"), value.alias("value"))
-        words = F.split(v, " ")
+        named = F.regexp_replace(v, rf"^(?:{TITLE}\.? )+", "")
+        words = F.split(named, " ")
         last = F.element_at(words, F.lit(-1))
-        given = F.when(v.rlike(rf"^{FEMALE}\b"), F.lit("given_f")).otherwise(F.lit("given_m"))
+        title = F.substring(v, F.lit(1), F.length(v) - F.length(named))
+        given = (F.when(title.rlike(rf"(?<!\p{{L}}){FEMALE}(?!\p{{L}})"), F.lit("given_f"))
+                 .when(title.rlike(rf"(?<!\p{{L}})(?:{MALE}|M(?=\.))(?!\p{{L}})"), F.lit("given_m")).otherwise(F.lit("given")))
         surname = part(end - F.length(last), end, F.lit("surname"), F.lower(last), last)
-        first = words[1]
-        from_ = start + F.length(words[0]) + 1
+        first = words[0]
+        from_ = end - F.length(named)
         whole = lambda kind, norm: F.array(part(start, end, F.lit(kind), norm, v))
         return (F.when(v.contains("@"), whole("email", F.lower(v)))
                 .when(v.rlike(rf"^{IP}$"), whole("ip", v))
-                .when(v.startswith("+"), whole("phone", digits(v)))
-                .when(v.rlike("^[0-9]"), whole("card", digits(v)))
-                .when(F.size(words) > 2, F.array(part(from_, from_ + F.length(first), given, F.lower(first), first), surname))
+                .when(v.rlike(rf"^{CARD_FORM}$"), whole("card", digits(v)))
+                .when(v.rlike("^[+(0-9]"), whole("phone", digits(v)))
+                .when(F.size(words) > 1, F.array(part(from_, from_ + F.length(first), given, F.lower(first), first), surname))
                 .otherwise(F.array(surname)))
 
     return F.flatten(F.transform(match_spans(text, ANY), parts))
@@ -193,7 +208,7 @@ def extended(key: str, attempt: int, kind: Column, norm: Column, number: Column,
     stem = F.substring(drawn, F.lit(1), F.length(drawn) - 1)
     return (F.when(kind == "ip", F.concat_ws(".", *[octet(i) for i in (3, 2, 1, 0)]))
             .when(kind == "card", card).when(kind == "phone", body).when(kind == "email", F.concat(code, drawn))
-            .when(kind.isin("given_f", "given_m"), F.concat(stem, code, last)).otherwise(F.concat(drawn, code)))
+            .when(kind.isin("given_f", "given_m", "given"), F.concat(stem, code, last)).otherwise(F.concat(drawn, code)))
 
 
 def _shaped(kind: Column, value: Column, new: Column) -> Column:
@@ -219,6 +234,10 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     found = docs.where(may_mention(text)).select(*key_columns, mentions(text).alias("m"))
     found = found.select("__k1", "__k2", F.explode("m").alias("m")).select("__k1", "__k2", "m.*").distinct()
     found = store(found, "mentions")
+    # a given name after a title of either gender is the one that another mention tells the gender of
+    told = found.where(F.col("kind").isin("given_f", "given_m")).groupBy("norm").agg(F.min("kind").alias("__told"))
+    told = told.withColumn("kind", F.lit("given"))
+    found = found.join(told, ["kind", "norm"], "left").withColumn("kind", F.coalesce("__told", "kind")).drop("__told")
     entities = store(found.select("kind", "norm").distinct(), "entities")
     named = found.join(assign(entities, key), ["kind", "norm"])
     change = F.struct("start", "end", "kind", _shaped(F.col("kind"), F.col("value"), F.col("surrogate")).alias("with"))

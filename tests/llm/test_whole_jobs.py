@@ -73,3 +73,17 @@ def test_merkle_locates_repeated_moved_and_removed_leaves(spark):
     found = [[(x.change, x.section, x.paragraph, x.leaf) for x in r.d] for r in table.select(merkle.differing(a, b).alias("d")).collect()]
     assert found == [[("changed", 0, 0, 3)], [("changed", 0, 0, 0), ("changed", 1, 0, 0)],
                      [("removed", 0, 1, 0)], [("inserted", 0, 1, 0)], []]
+
+
+def test_surrogates_of_more_formats(spark):
+    phones = ["(555) 123-4567", "555-123-4567", "030 1234567", "01 23 45 67 89", "+1 (663) 555-6869"]
+    cards = ["3782 822463 10005", "4111 1111 1111 1111", "3056 930902 5904"]
+    others = ["on 01-02-2026 at 12", "x 0.5 and 10 20 30", "2026-12-01"]
+    names = ["Dr Ada Byron", "Prof. Dr. Ada Byron", "Madame Byron", "Monsieur Byron", "M. Byron", "Herr Dr. Byron", "Mrs Ada Byron"]
+    texts = [f"see {x} now" for x in phones + cards + others + names] + ["Tel.: 6123 4567"]
+    rows = {r.text: r for r in surrogates.replace_personal_data(spark.createDataFrame([(t,) for t in texts], "text string"), "k").collect()}
+    kinds = lambda x: [c.kind for c in rows[f"see {x} now"].changes]
+    assert [kinds(x) for x in phones] == [["phone"]] * len(phones) and [kinds(x) for x in cards] == [["card"]] * len(cards)
+    assert not any(kinds(x) for x in others) and [c.kind for c in rows["Tel.: 6123 4567"].changes] == ["phone"]
+    assert all("Byron" not in rows[f"see {x} now"].new_text and "Ada" not in rows[f"see {x} now"].new_text for x in names)
+    assert kinds("Dr Ada Byron") == kinds("Mrs Ada Byron") == ["given_f", "surname"]
