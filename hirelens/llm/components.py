@@ -17,9 +17,11 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     edges = store(edges.where("a <> b").distinct(), "edges")
     labels = None
-    for turn in range(1000):
+    for turn in range(1001):
         if edges.isEmpty():
             break
+        if turn == 1000:
+            raise RuntimeError("the edges are not contracted after 1000 rounds")
         ends = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         ends = ends.withColumn("h", F.xxhash64(F.lit(turn), "b"))
         hooks = ends.groupBy("a").agg(F.min(F.struct(F.col("h"), F.col("b").alias("v"))).alias("other"))

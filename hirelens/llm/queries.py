@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import forest, jaccard, langid, licences, merkle, packing, pieces, secret_links, sharding, surrogates
+from hirelens.llm import (
+    forest, jaccard, langid, licences, merkle, negatives, packing, pieces, secret_links, sharding, simhash, surrogates,
+)
 from hirelens.llm.common import table
 
 
@@ -97,5 +99,19 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pieces.decoded(F.col("ids")) == text).alias("round_trip"))
 
 
-QUERIES = {"op3_pieces": op3_pieces, "op4_surrogates": op4_surrogates, "op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing}
-ORACLES: dict[str, str] = {"op6_licences": licences.oracle()}
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the vectors whose id is divisible by 100, with every seventh label moved on by one."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = (F.col("label").cast("bigint") + 1) % 10
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label")))
+    return negatives.hard_negatives(vectors, lambda vec_id: vec_id % 100 == 0)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their components at two differing bits or fewer."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op3_pieces": op3_pieces, "op4_surrogates": op4_surrogates, "op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing,
+           "op12_negatives": op12_negatives, "op13_simhash": op13_simhash}
+ORACLES: dict[str, str] = {"op6_licences": licences.oracle(), "op12_negatives": negatives.brute_force_sql()}
