@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens.llm import (
     forest, jaccard, langid, licences, merkle, negatives, packing, pieces, secret_links, sharding, simhash, surrogates,
+    turns,
 )
 from hirelens.llm.common import table
 
@@ -99,6 +100,12 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pieces.decoded(F.col("ids")) == text).alias("round_trip"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired turns of all conversations, damaged beforehand."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turns.with_all(conversations, turns.report(turns.edited(turns.damaged(conversations))))
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of the vectors whose id is divisible by 100, with every seventh label moved on by one."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
@@ -113,5 +120,5 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_pieces": op3_pieces, "op4_surrogates": op4_surrogates, "op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing,
-           "op12_negatives": op12_negatives, "op13_simhash": op13_simhash}
+           "op11_repair": op11_repair, "op12_negatives": op12_negatives, "op13_simhash": op13_simhash}
 ORACLES: dict[str, str] = {"op6_licences": licences.oracle(), "op12_negatives": negatives.brute_force_sql()}
