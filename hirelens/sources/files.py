@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.schema import SOURCE_POSTING, from_source_keys
+from hirelens.sources.arrays import array_records
 from hirelens.sources.lines import parse_lines
 
 
@@ -14,7 +15,7 @@ def read_posting_array(spark: SparkSession, path: str, tolerant: bool = False) -
     """Files that are one JSON array each.
 
     A missing path or, unless ``tolerant``, a malformed file is an error. One array
-    file is one task (the format cannot be split): land large inputs as JSON lines.
+    file is one task here; :func:`read_posting_array_ordered` reads it in parts.
     """
     mode = "PERMISSIVE" if tolerant else "FAILFAST"
     reader = spark.read.schema(SOURCE_POSTING).option("multiLine", True).option("mode", mode)
@@ -22,27 +23,27 @@ def read_posting_array(spark: SparkSession, path: str, tolerant: bool = False) -
 
 
 def read_posting_array_ordered(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
-    """The same, with ``_file`` and ``_pos`` as the input order that first-wins needs.
+    """The same for files of any size, with ``_file`` and ``_pos`` as the input order that first-wins needs.
 
-    A file without a readable array is an error. With ``tolerant`` it is one row without
-    fields and place, whose ``_error`` says why; the rows of readable files have none.
-    A file is held as one string, 2 GB at most.
+    A file is read in byte ranges, as many tasks as it has (:mod:`hirelens.sources.arrays`). A file without a readable
+    array is an error when called, a record that is no JSON object when read. With ``tolerant`` such a file is one row without fields and
+    place, and such a record one without fields; ``_error`` says why, and is null for all others.
     """
-    rows = T.ArrayType(SOURCE_POSTING)
-    text = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("_file"), F.from_json("value", rows).alias("_rows")
-    )
-    reason = F.lit("no readable JSON array")
+    records, broken = array_records(spark, path)
+    reason = "no readable JSON array"
+    corrupt = "_corrupt"
     if not tolerant:
-        failed = F.raise_error(F.concat(reason, F.lit(": "), F.col("_file"))).cast(rows)
-        text = text.withColumn("_rows", F.when(F.col("_rows").isNull(), failed).otherwise(F.col("_rows")))
-        found = text.select("_file", F.posexplode("_rows").alias("_pos", "_row"))
-        return from_source_keys(found.select("_row.*", "_file", "_pos"))
-    error = F.when(F.col("_rows").isNull(), reason).alias("_error")
-    empty = F.size(F.coalesce("_rows", F.array())) > 0
-    found = text.where(F.col("_rows").isNull() | empty).select(
-        "_file", error, F.posexplode_outer("_rows").alias("_pos", "_row"))
-    return from_source_keys(found.select("_row.*", "_file", "_pos", "_error"))
+        first = broken.first()
+        if first:
+            raise ValueError(f"{reason}: {first['_file']}")
+        row = F.from_json("value", SOURCE_POSTING, {"mode": "FAILFAST"})
+        return from_source_keys(records.select(row.alias("_row"), "_file", "_pos").select("_row.*", "_file", "_pos"))
+    told = T.StructType([*SOURCE_POSTING.fields, T.StructField(corrupt, T.StringType())])
+    row = F.from_json("value", told, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    rows = records.select(row.alias("_row"), "_file", "_pos").select("_row.*", "_file", "_pos")
+    error = F.when(F.col(corrupt).isNotNull(), F.lit("no readable record"))
+    rows = from_source_keys(rows.withColumn("_error", error).drop(corrupt))
+    return rows.unionByName(broken.withColumn("_error", F.lit(reason)), allowMissingColumns=True)
 
 
 def read_posting_lines(spark: SparkSession, path: str, strict_compat: bool = False) -> DataFrame:

@@ -160,6 +160,62 @@ def test_cut_off_array_file(spark, tmp_path):
     assert sorted((r._file[-6:], r._error) for r in rows) == [("a.json", None), ("b.json", "no readable JSON array")]
 
 
+AWKWARD = [
+    {"job_id": str(i), "职位描述": text, "城市": "北京"} for i, text in enumerate([
+        "plain", "a } b", '"}, {"job_id": "9"}', "\\\\", '\\"}', "[{", "]", "", "line\nbreak } \" {", "é日本\U0001F600}", "x" * 300])
+]
+
+
+@pytest.mark.parametrize("indent, ranges", [(None, 61), (2, 97), (1, 1 << 20)])
+def test_array_files_in_byte_ranges(spark, tmp_path, indent, ranges):
+    """Strings with braces, quotes and escapes, cut anywhere, come back in the order of the file."""
+    for name, rows in {"a": AWKWARD, "b": AWKWARD[::-1] * 2, "c": [], "d": AWKWARD[:1]}.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows, ensure_ascii=name == "a", indent=indent), encoding="utf-8")
+    (tmp_path / "e.json").write_text(' [\n\n ] \n', encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", ranges)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        df = files.read_posting_array_ordered(spark, str(tmp_path))
+        got = {}
+        for r in df.orderBy("_file", "_pos").collect():
+            got.setdefault(r._file[-6], []).append((r._pos, r.job_id, r.job_desc))
+        whole = lambda rows: [(i, r["job_id"], r["职位描述"]) for i, r in enumerate(rows)]
+        assert got == {"a": whole(AWKWARD), "b": whole(AWKWARD[::-1] * 2), "d": whole(AWKWARD[:1])}
+        if ranges == 61:
+            assert spark.read.text(str(tmp_path / "b.json"), lineSep="}").rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_array_of_nested_objects(spark, tmp_path):
+    rows = [{"job_id": {"a": [{"b": 1}, {"c": "}"}]}}, {"job_id": "2"}]
+    (tmp_path / "n.json").write_text(json.dumps(rows), encoding="utf-8")
+    got = files.read_posting_array_ordered(spark, str(tmp_path)).orderBy("_pos").collect()
+    assert [json.loads(r.job_id) if r.job_id[0] == "{" else r.job_id for r in got] == [rows[0]["job_id"], "2"]
+
+
+BROKEN = ['[{"a": 1}', '[{"a": 1},', '[{"a": 1} {"a": 2}]', '{"a": 1}', "", "[", "]", '[{"a": "1}]', '[{"a": 1}}]', '[{"a": 1}]]',
+          '[{"a": 1}, x {"a": 2}]', '[{"a": 1}][{"a": 2}]', '[{"a": 1}, ]', "x", '[{"a": {"b": 1}]']
+
+
+def test_broken_array_files(spark, tmp_path):
+    """No file of these is taken for an array; a file without a byte holds nothing to read."""
+    for i, text in enumerate(BROKEN):
+        (tmp_path / f"{i:02}.json").write_text(text, encoding="utf-8")
+    (tmp_path / "ok.json").write_text('[{"job_id": "1"}, {bad}]', encoding="utf-8")
+    with pytest.raises(ValueError, match="no readable JSON array"):
+        files.read_posting_array_ordered(spark, str(tmp_path))
+    rows = files.read_posting_array_ordered(spark, str(tmp_path), tolerant=True).collect()
+    assert sorted(r._file[-7:-5] for r in rows if r._error == "no readable JSON array") == [
+        f"{i:02}" for i, text in enumerate(BROKEN) if text]
+    assert sorted((r._pos, r.job_id, r._error) for r in rows if r._file.endswith("ok.json")) == [
+        (0, "1", None), (1, None, "no readable record")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_posting_array_ordered(spark, str(tmp_path / "ok.json")).collect()
+
+
 def test_upsert_keeps_keys_unique(spark, tmp_path):
     table = serving.SnapshotTable(spark, str(tmp_path / "t"))
     rows = lambda *x: spark.createDataFrame(x, "k string, n int")
