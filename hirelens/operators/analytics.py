@@ -55,6 +55,31 @@ def quantiles_by(
     )
 
 
+def sketch_by(df: DataFrame, *keys: str, value: str = MID, k: int = 400) -> DataFrame:
+    """A quantile sketch of every group (R2, R4, R5) that can be stored and merged, unlike an exact quantile.
+
+    ``k`` decides its size (a few kilobytes) and its rank error: with 400, a normalized rank is off by less than 0.7 %
+    at 99 % confidence. Map-side aggregation merges sketches, so a hot key sends one per task.
+    """
+    stated = df.where(F.col(value).isNotNull())
+    return stated.groupBy(*keys).agg(F.kll_sketch_agg_bigint(value, F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Sketches of several days as one per group."""
+    return sketches.groupBy(*keys).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+
+
+def sketched_quantiles(
+    sketches: DataFrame, *keys: str, percents: Iterable[int] = (25, 50, 75, 90)
+) -> DataFrame:
+    """Approximate quantiles out of sketches: values that occur, not interpolated."""
+    return sketches.select(
+        *keys, F.kll_sketch_get_n_bigint("sketch").alias("job_count"),
+        *[F.kll_sketch_get_quantile_bigint("sketch", F.lit(p / 100)).alias(f"p{p}") for p in percents],
+    )
+
+
 def histogram_by(df: DataFrame, *keys: str, value: str = MID, width: int = 5000) -> DataFrame:
     """Row counts per group and value bucket; ``bucket`` is its lower edge (R2)."""
     low = whole_div(F.col(value), F.lit(width)) * width
@@ -67,14 +92,17 @@ def histogram_by(df: DataFrame, *keys: str, value: str = MID, width: int = 5000)
 def share_by(df: DataFrame, *keys: str) -> DataFrame:
     """Count, percentage of all rows and salary statistics per group.
 
-    The total is a scalar subquery: a window over everything would gather all groups
-    in one task.
+    One reading: the grand total is one more grouping set, taken back as a scalar from the small stored result. A
+    window over everything would gather all groups in one task.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_count"), *salary_aggs())
+    columns = [F.col(k) for k in keys]
+    stats = df.groupingSets([columns, []], *columns).agg(
+        F.grouping_id().alias("_level"), F.count(F.lit(1)).alias("total_count"), *salary_aggs())
+    stats = stored(stats, "shares")
+    total = stats.where("_level > 0").agg(F.max("total_count")).scalar()
     # job_count is the salaried count; the mean is null when nobody states a salary
-    named = stats.withColumnRenamed("job_count", "salaried_count").withColumn("_total", total)
-    return named.withColumn("share", percent(F.col("total_count"), F.col("_total"))).drop("_total")
+    named = stats.where("_level = 0").withColumnRenamed("job_count", "salaried_count").withColumn("_total", total)
+    return named.withColumn("share", percent(F.col("total_count"), F.col("_total"))).drop("_total", "_level")
 
 
 def city_competition(jobs: DataFrame) -> DataFrame:
@@ -155,25 +183,41 @@ def internship_vs_regular(jobs: DataFrame) -> DataFrame:
     )
 
 
-def internship_terms(jobs: DataFrame, *keys: str) -> DataFrame:
-    """Duration, days per week and conversion rate of internships.
-
-    Means are over the rows that state the term, the conversion rate over the rows
-    that answer yes or no.
-    """
+def term_sums(jobs: DataFrame, *keys: str) -> DataFrame:
+    """What the internship terms are made of; days add up."""
     months = F.regexp_extract("intern_duration", "([0-9]+)个月", 1).try_cast("bigint")
     days = F.col("work_days_per_week").try_cast("bigint")
-    yes = F.count_if(F.col("has_conversion") == V.YES)
-    answered = F.count_if(F.col("has_conversion").isin(V.YES, V.NO))
     interns = jobs.where("is_internship").withColumns({"_months": months, "_days": days})
     return interns.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("internship_count"),
-        _mean(F.sum("_months"), F.count("_months")).alias("avg_duration"),
-        _mean(F.sum("_days"), F.count("_days")).alias("avg_days"),
-        F.when(answered > 0, percent(yes, answered)).alias("conversion_rate"),
+        F.sum("_months").alias("months"),
+        F.count("_months").alias("months_stated"),
+        F.sum("_days").alias("days"),
+        F.count("_days").alias("days_stated"),
+        F.count_if(F.col("has_conversion") == V.YES).alias("converted"),
+        F.count_if(F.col("has_conversion").isin(V.YES, V.NO)).alias("answered"),
     )
 
 
+def terms_from(sums: DataFrame, *keys: str) -> DataFrame:
+    return sums.select(
+        *keys,
+        "internship_count",
+        _mean(F.col("months"), F.col("months_stated")).alias("avg_duration"),
+        _mean(F.col("days"), F.col("days_stated")).alias("avg_days"),
+        F.when(F.col("answered") > 0, percent(F.col("converted"), F.col("answered"))).alias("conversion_rate"),
+    )
+
+
+def internship_terms(jobs: DataFrame, *keys: str) -> DataFrame:
+    """Duration, days per week and conversion rate of internships.
+
+    Means are over the rows that state the term, the conversion rate over the rows
+    that answer yes or no.
+    """
+    return terms_from(term_sums(jobs, *keys), *keys)
+
+
 def _mean(total: Column, n: Column) -> Column:
     """Mean to two decimals, rounded half up in whole hundredths."""
     return F.when(n > 0, whole_div(total * 200 + n, n * 2) / 100)

@@ -88,9 +88,13 @@ def clean_postings(raw: DataFrame, order: list[str], hr_tag: bool = False) -> Da
     return cleaned.drop("content_key", *PROVENANCE)
 
 
+def high_value_test() -> Column:
+    return F.size("value_tags") > 0
+
+
 def high_value(cleaned: DataFrame) -> DataFrame:
     """Rows with a value tag."""
-    return cleaned.where(F.size("value_tags") > 0)
+    return cleaned.where(high_value_test())
 
 
 def meaningful(cleaned: DataFrame) -> DataFrame:
@@ -117,36 +121,49 @@ def content_duplicates(repaired: DataFrame) -> DataFrame:
     )
 
 
-def cleaning_report(raw: DataFrame, order: list[str]) -> DataFrame:
-    """Counters of a cleaning run as (metric, value) rows.
-
-    The three row counts are always present; a named counter that stays at zero is not.
-    One reading: the aggregate that keeps the first row of an id also counts its rows.
-    """
+def first_rows(raw: DataFrame, order: list[str]) -> DataFrame:
+    """The first row of every id, as first-wins keeps it, with the number of its rows as ``_rows``."""
     first = raw.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(row_key(order))]).agg(
         F.min_by(F.struct(*raw.columns), F.struct(*order)).alias("_row"), F.count(F.lit(1)).alias("_rows")
     )
-    kept = repair_fields(first.select("_row.*", "_rows"))
+    return first.select("_row.*", "_rows")
+
+
+def repair_counters() -> dict[str, Column]:
+    """Counters over the repaired :func:`first_rows`; all but the repeated contents can also be observed."""
 
     def came(column: str, value: str) -> Column:
         return F.count_if(F.col(column) == value)
 
     rows_in, rows_out = F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))
-    counters = {
+    return {
         "input_count": rows_in,
         "total_processed": rows_in,
         "output_count": rows_out,
-        "high_value_count": F.count_if(F.size("value_tags") > 0),
+        "high_value_count": F.count_if(high_value_test()),
         "company_restored_from_desc": came("company_from", "desc"),
         "company_unknown": came("company_from", "unknown"),
         "city_restored_from_title": came("city_from", "title"),
         "city_restored_from_desc": came("city_from", "desc"),
         "degree_restored_from_desc": came("degree_from", "desc"),
         "type_restored_from_desc": came("job_type_from", "desc"),
-        "duplicate_content_warning": rows_out - F.count_distinct("content_key"),
         "duplicate_id": rows_in - rows_out,
     }
-    always = ["input_count", "output_count", "high_value_count"]
+
+
+# Counters that are reported at zero, too.
+ALWAYS_TOLD = ["input_count", "output_count", "high_value_count"]
+
+
+def cleaning_report(raw: DataFrame, order: list[str]) -> DataFrame:
+    """Counters of a cleaning run as (metric, value) rows.
+
+    The three row counts are always present; a named counter that stays at zero is not.
+    One reading: the aggregate that keeps the first row of an id also counts its rows.
+    """
+    kept = repair_fields(first_rows(raw, order))
+    repeated = F.count(F.lit(1)) - F.count_distinct("content_key")
+    counters = {**repair_counters(), "duplicate_content_warning": repeated}
     totals = kept.agg(*[agg.alias(name) for name, agg in counters.items()])
     long = totals.unpivot([], list(counters), "metric", "value")
-    return long.where(F.col("metric").isin(always) | (F.col("value") > 0))
+    return long.where(F.col("metric").isin(ALWAYS_TOLD) | (F.col("value") > 0))

@@ -325,20 +325,46 @@ def from_all(rollup: DataFrame, table: str) -> DataFrame:
     raise ValueError(f"{table} is not a single-key rollup")
 
 
-def all_skill_rollups(jobs: DataFrame) -> DataFrame:
-    """The measures of the three skill rollups (A3, A4, A14) from one scan and one exchange."""
+def skill_sums(jobs: DataFrame) -> DataFrame:
+    """What the three skill rollups (A3, A4, A14) are made of, from one scan and one exchange; days add up."""
     liked = F.when(F.col("is_high_collection"), F.col("collection_count"))
     slim = jobs.select(
         "skills", MID, "min_salary", "max_salary", liked.alias("high_collection")
     )
     return explode_skills(slim).groupBy("skill").agg(
         F.count(F.lit(1)).alias("count"),
-        *salary_aggs(),
+        F.count(MID).alias("salaried_count"),
+        F.sum(MID).alias("salary_total"),
+        F.min("min_salary").alias("min_salary"),
+        F.max("max_salary").alias("max_salary"),
         F.sum("high_collection").alias("total_collection"),
         F.count("high_collection").alias("high_count"),
     )
 
 
+def skills_from(sums: DataFrame) -> DataFrame:
+    mean = whole_div(F.col("salary_total"), F.nullif(F.col("salaried_count"), F.lit(0)))
+    return sums.select(
+        "skill", "count", mean.alias("avg_salary"), "min_salary", "max_salary",
+        F.col("salaried_count").alias("job_count"), "total_collection", "high_count",
+    )
+
+
+def all_skill_rollups(jobs: DataFrame) -> DataFrame:
+    """The measures of the three skill rollups (A3, A4, A14) from one scan and one exchange."""
+    return skills_from(skill_sums(jobs))
+
+
+def merged_sums(parts: DataFrame, *keys: str) -> DataFrame:
+    """Partial results of several days as one: lowest and highest of ``min_`` and ``max_`` columns, sums of the others."""
+
+    def merge(name: str) -> Column:
+        fold = F.min if name.startswith("min_") else F.max if name.startswith("max_") else F.sum
+        return fold(name).alias(name)
+
+    return parts.groupBy(*keys).agg(*[merge(c) for c in parts.columns if c not in keys])
+
+
 def from_all_skills(rollup: DataFrame, table: str) -> DataFrame:
     """One skill rollup out of the result of :func:`all_skill_rollups`."""
     if table == "skill_count":

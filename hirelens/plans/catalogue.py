@@ -13,8 +13,9 @@ from hirelens.operators import analytics as A
 from hirelens.operators import cards as C
 from hirelens.operators import cleaning, dedup, quality, ranking, rollups
 from hirelens.operators.records import enrich
-from hirelens.plans import views
-from hirelens.plans.refresh import refresh
+from hirelens.plans import daily, views
+from hirelens.plans.cleaning_run import run_cleaning
+from hirelens.plans.refresh import refresh, served_rows
 from hirelens.schema import COLUMNS, SERVING, SOURCE_KEYS
 from hirelens.session import scratch_dir, spread
 from hirelens.sinks import files as file_sink
@@ -442,17 +443,57 @@ def serving_internship(spark, sf_dir):
 
 @query
 def serving_refresh(spark, sf_dir):
-    """All fifteen serving tables refreshed and read back: (table_name, key, measure)."""
-    written = refresh(views.postings(spark, sf_dir), scratch_dir(spark, "serving"))
-    rows = None
-    for name, table in written.items():
-        contract = SERVING[name]
-        part = table.current().select(
-            F.lit(name).alias("table_name"), F.col(contract.key).alias("key"),
-            F.col(contract.measures[0][0]).cast("double").alias("measure"),
-        )
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    """All fifteen serving tables refreshed and read back, all measures."""
+    return served_rows(refresh(views.postings(spark, sf_dir), scratch_dir(spark, "serving")))
+
+
+@query
+def daily_refresh(spark, sf_dir):
+    """Postings landed on three days, the serving tables refreshed after each from that day's postings alone."""
+    landing, state, tables = (scratch_dir(spark, name) for name in ("landing", "parts", "serving"))
+    _land_by_day(views.postings(spark, sf_dir), landing)
+    for day in DAYS:
+        written = daily.refresh_days(spark, landing, state, tables, [day])
+    return served_rows(written)
+
+
+DAYS = ["20260101", "20260102", "20260103"]
+
+
+def _land_by_day(postings: DataFrame, root: str) -> None:
+    """Postings as JSON lines under a directory per day, a third of them each."""
+    day = F.element_at(F.array(*map(F.lit, DAYS)), (F.col("ord") % 3 + 1).cast("int"))
+    line = F.to_json(F.struct(*[F.col(c).alias(k) for k, c in SOURCE_KEYS.items()]))
+    postings.select(line.alias("value"), day.alias("dt")).write.partitionBy("dt").text(root)
+
+
+@query
+def city_salary_sketch(spark, sf_dir):
+    """Quantiles per city out of merged sketches of three days: does the rank of each answer lie within 2 %?"""
+    jobs = views.jobs(spark, sf_dir).select("ord", "effective_city", rollups.MID)
+    by_day = A.sketch_by(jobs.withColumn("day", F.col("ord") % 3), "day", "effective_city")
+    told = A.sketched_quantiles(A.merged_sketches(by_day, "effective_city"), "effective_city")
+    names = [c for c in told.columns if c.startswith("p")]
+    answers = told.unpivot(["effective_city", "job_count"], names, "quantile", "answer")
+    exact = jobs.groupBy("effective_city", rollups.MID).agg(F.count(F.lit(1)).alias("n"))
+    ranks = answers.join(exact, "effective_city").groupBy("effective_city", "job_count", "quantile").agg(
+        F.sum(F.when(F.col(rollups.MID) < F.col("answer"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col(rollups.MID) <= F.col("answer"), F.col("n")).otherwise(0)).alias("upto"))
+    asked = F.substring("quantile", 2, 2).cast("int") / 100
+    return ranks.select(
+        "effective_city", "quantile", "job_count",
+        ((F.col("below") / F.col("job_count") <= asked + 0.02) & (F.col("upto") / F.col("job_count") >= asked - 0.02))
+        .alias("within_bound"))
+
+
+@query
+def cleaning_run(spark, sf_dir):
+    """Rows, high-value rows and report of one cleaning run, all three read back."""
+    root = scratch_dir(spark, "cleaning-run")
+    report = run_cleaning(views.postings(spark, sf_dir), ["ord"], root)
+    rows = spark.read.schema("output string, ord bigint, collection_count bigint").json(f"{root}/rows")
+    return rows.select("output", F.col("ord").cast("string").alias("name"), F.col("collection_count").alias("value")).union(
+        report.select(F.lit("report"), "metric", "value"))
 
 
 @query

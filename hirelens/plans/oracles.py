@@ -9,7 +9,7 @@ from __future__ import annotations
 from hirelens import vocab as V
 from hirelens.functions.text import UNICODE_BLANKS
 from hirelens.plans import views
-from hirelens.schema import COLUMNS, EXPORT_COLUMNS, SOURCE_KEYS
+from hirelens.schema import COLUMNS, EXPORT_COLUMNS, SERVING, SOURCE_KEYS
 
 
 def listed(words: list[str]) -> str:
@@ -731,25 +731,24 @@ ORACLES["repaired_values"] = _with(
 )
 ORACLES["tapped_messages"] = "SELECT event_type AS value, count(*) AS message_count FROM events GROUP BY 1"
 
-# serving table -> (query that holds it, key, measure)
+# serving table -> query that holds its rows
 _SERVED = {
-    "city_job_count": ("city_job_count", "city", "job_count"),
-    "city_salary_stats": ("city_salary_stats", "city", "avg_salary"),
-    "skill_count": ("skill_count", "skill", "count"),
-    "skill_salary_stats": ("skill_salary_stats", "skill", "avg_salary"),
-    "education_count": ("education_count", "education", "count"),
-    "education_salary_stats": ("education_salary_stats", "education", "avg_salary"),
-    "company_type_count": ("company_type_count", "company_type", "count"),
-    "recruit_type_count": ("recruit_type_count", "recruit_type", "count"),
-    "internship_stats": ("internship_stats", "city", "internship_count"),
-    "dashboard_summary": ("dashboard_summary", "metric_name", "metric_value"),
-    "high_collection_jobs": ("high_collection", "city", "high_collection_count"),
-    "active_jobs_stats": ("active_jobs", "city", "active_count"),
-    "negotiable_ratio_stats": ("negotiable_ratio", "city", "total_count"),
-    "skill_collection_rank": ("skill_collection_rank", "skill", "total_collection"),
-    "activity_salary_comparison": ("activity_salary", "activity_type", "job_count"),
+    **{t: t for t in SERVING if t in ORACLES}, "internship_stats": "serving_internship",
+    "high_collection_jobs": "high_collection_salary", "active_jobs_stats": "active_jobs",
+    "negotiable_ratio_stats": "negotiable_ratio", "activity_salary_comparison": "activity_salary",
 }
 ORACLES["serving_refresh"] = " UNION ALL ".join(
-    f"SELECT '{table}' AS table_name, {key} AS key, CAST({measure} AS DOUBLE) AS measure FROM ({ORACLES[query]})"
-    for table, (query, key, measure) in _SERVED.items()
+    f"SELECT '{table}' AS table_name, {contract.key} AS key, '{measure}' AS measure, "
+    f"CAST({measure} AS DOUBLE) AS value FROM ({ORACLES[_SERVED[table]]})"
+    for table, contract in SERVING.items() for measure, _ in contract.measures
 )
+ORACLES["daily_refresh"] = ORACLES["serving_refresh"]
+ORACLES["city_salary_sketch"] = _j(
+    "SELECT effective_city, unnest(['p25', 'p50', 'p75', 'p90']) AS quantile, job_count, true AS within_bound FROM "
+    "(SELECT effective_city, count(*) AS job_count FROM jobs WHERE mid IS NOT NULL GROUP BY 1)"
+)
+ORACLES["cleaning_run"] = " UNION ALL ".join([
+    f"SELECT 'cleaned' AS output, CAST(ord AS VARCHAR) AS name, collection_count AS value FROM ({ORACLES['cleaned_postings']})",
+    f"SELECT 'high_value', CAST(ord AS VARCHAR), collection_count FROM ({ORACLES['high_value_file']})",
+    f"SELECT 'report', metric, value FROM ({ORACLES['cleaning_report']})",
+])

@@ -65,14 +65,17 @@ class Serving:
     ranked_by: str | None = None
 
     def apply(self, df: DataFrame) -> DataFrame:
-        """Project a rollup to the contract: names, order, types and ranking."""
-        typed = df.select(
+        """Project a rollup to the contract: names, order and types."""
+        return df.select(
             F.col(self.key).cast("string").alias(self.key),
             *[F.col(name).cast(kind).alias(name) for name, kind in self.measures],
         )
+
+    def ranked(self, df: DataFrame) -> DataFrame:
+        """Rows in the order the table is served in."""
         if self.ranked_by is None:
-            return typed.orderBy(self.key)
-        return typed.orderBy(F.desc(self.ranked_by), self.key)
+            return df.orderBy(self.key)
+        return df.orderBy(F.desc(self.ranked_by), self.key)
 
 
 # Counts and sums are bigint: a 32-bit column would overflow on a large input.

@@ -14,7 +14,7 @@ MYSQL_LIKE = "UNICODE_CI_AI_RTRIM"
 
 def serving_table(rollup: DataFrame, name: str) -> DataFrame:
     """A rollup in the types and ranking order of its serving table."""
-    return SERVING[name].apply(rollup)
+    return SERVING[name].ranked(SERVING[name].apply(rollup))
 
 
 def upsert(
@@ -99,10 +99,15 @@ class SnapshotTable:
         versions = self._versions()
         df.write.mode("overwrite").parquet(f"{self.root}/v={versions[-1] + 1 if versions else 0}")
 
-    def upsert(self, delta: DataFrame, keys: list[str], now: Column | None = None, **how) -> None:
+    def upsert(
+        self, delta: DataFrame, keys: list[str], now: Column | None = None,
+        ranked: Callable[[DataFrame], DataFrame] | None = None, **how,
+    ) -> None:
+        """Merge rows into the current snapshot; ``ranked`` puts the merged table in order before it is written."""
         base = self.current()
         stamped = delta.withColumn("update_time", F.current_timestamp() if now is None else now)
-        self.replace(upsert(stamped.where("false") if base is None else base, delta, keys, now, **how))
+        merged = upsert(stamped.where("false") if base is None else base, delta, keys, now, **how)
+        self.replace(ranked(merged) if ranked else merged)
 
 
 def upsert_sql(table: str, keys: list[str], measures: list[str], mark: str = "?") -> str:
