@@ -7,10 +7,13 @@ differ in so few elements that, with one block more than that, one block at leas
 holds the sets that share a block; all other lists are skipped. Lists of single elements would grow with the square of
 the documents that share a passage, and such documents may not be dropped; lists of blocks do not.
 
-Answers: in a list every set is compared with the list's least set (its leader) only. The distances to the leader give
-the answers of the others: what is linked to one leader is connected, and by the triangle inequality of the Jaccard
-distance two sets can only be linked if their distances to the leader differ by no more than the distance of a link.
-Only what these leave open is compared directly, in blocks.
+Answers: the sets that share a block with a leader (the least set of that block) are its family. Every member is compared
+with the leader only; what is linked to it is connected. A family whose members are not all connected then elects
+another leader, the member nearest to the first one: copies differ from each other by the edits of both and from their
+original by their own alone, so the original or a set close to it is elected. Later leaders come from the members
+outside the family's greatest component. A leader is compared with the members of other components; so a round has
+no more rows than the families have members. What a few rounds leave open is compared inside the tasks, sets outside the
+greatest component with all others, in parts of bounded size; a task returns links that join components, never pairs.
 """
 
 from __future__ import annotations
@@ -154,6 +157,16 @@ def sketch_bits(sizes: np.ndarray) -> np.ndarray:
     return np.left_shift(1, np.ceil(np.log2(np.maximum(sizes, LEAST_BITS))).astype(np.int64))
 
 
+def odd_sketches(row: np.ndarray, h: np.ndarray, sizes: np.ndarray, fine: int = 1) -> list[bytes]:
+    """Odd sketches of sets given as (row, hash); ``fine`` times as many bits tell close sets apart better."""
+    width = sketch_bits(fine * sizes)
+    first = np.cumsum(width) - width
+    place = ((h >> U64(7)) & (width[row] - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits(np.bincount(first[row] + place, minlength=int(width.sum())).astype(np.uint8) & 1)
+    cuts = np.concatenate([first, [width.sum()]]) // 8
+    return [bits[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])]
+
+
 def set_rows(docs: DataFrame, words: int, seed: int) -> DataFrame:
     """Size, digest and odd sketch of every document's shingle set, with all columns of ``docs`` but the text."""
     carried = [c for c in docs.columns if c != "text"]
@@ -167,16 +180,11 @@ def set_rows(docs: DataFrame, words: int, seed: int) -> DataFrame:
             ends = np.searchsorted(row, np.arange(n + 1))
             digest = [int.from_bytes(hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest(), "little")
                       for a, b in zip(ends[:-1], ends[1:])]
-            width = sketch_bits(np.diff(ends))
-            first = np.cumsum(width) - width
-            place = ((h >> U64(7)) & (width[row] - 1).astype(np.uint64)).astype(np.int64)
-            sketch = np.packbits(np.bincount(first[row] + place, minlength=int(width.sum())).astype(np.uint8) & 1)
-            cuts = np.concatenate([first, [width.sum()]]) // 8
             half = lambda shift: pa.array(
                 np.array([(d >> shift) & (2**64 - 1) for d in digest], np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(c) for c in carried], pa.array(np.diff(ends), pa.int64()), half(0), half(64),
-                pa.array([sketch[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                pa.array(odd_sketches(row, h, np.diff(ends)), pa.binary()),
             ], [*carried, "n", "key", "key2", "sketch"])
 
     return docs.mapInArrow(describe, f"{kinds}n bigint, key bigint, key2 bigint, sketch binary")
@@ -253,6 +261,14 @@ def _ones(a: pa.Array, b: pa.Array) -> np.ndarray:
     return out
 
 
+def texts_of(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """key and a text of each class. Id and hash find one; where rows share both, one of them is taken."""
+    needed = keys.join(classes.select("key", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")), "key")
+    texts = docs.select("doc_id", "text").join(
+        needed, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")))
+    return texts.select("key", "text").dropDuplicates(["key"])
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, seed: int, law: Law) -> DataFrame:
     """Pairs (a, b) with ``linked`` and bounds ``low`` and ``high`` of their Jaccard distance.
 
@@ -278,11 +294,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
         allow, "a bigint, b bigint, near boolean, low double"), "judged")
     near = judged.where("near").select("a", "b")
     needed = near.select(F.col("a").alias("key")).union(near.select(F.col("b").alias("key"))).distinct()
-    needed = needed.join(classes.select("key", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")), "key")
-    # id and hash find a text of the class; where rows share both, one of them is taken
-    texts = docs.select("doc_id", "text").join(
-        needed, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")))
-    texts = store(texts.select("key", "text").dropDuplicates(["key"]), "texts")
+    texts = store(texts_of(needed, classes, docs), "texts")
     both = near.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
     both = both.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
 
@@ -311,66 +323,118 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     return store(exact.union(far), "verified")
 
 
-def open_pairs(rows: DataFrame, law: Law, block: int = 1000) -> DataFrame:
-    """Pairs of one list in different components that sizes, sketches and distances to the leader allow.
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (list, key, low) of families that are not one component, with ``label`` and whether it is the ``main`` one."""
+    rows = members.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
+    rows = rows.withColumn("label", F.coalesce("label", "key"))
+    parts = rows.groupBy("list", "label").agg(F.count("*").alias("n")).groupBy("list").agg(
+        F.count("*").alias("parts"), F.max(F.struct("n", "label"))["label"].alias("main"))
+    rows = rows.join(parts.where("parts > 1").select("list", "main"), "list")
+    return rows.select("list", "key", "low", "label", (F.col("label") == F.col("main")).alias("main"))
+
+
+def elected(rows: DataFrame, turn: int) -> DataFrame:
+    """The next leader of each family of ``open_members``: list, leader, its_label.
 
-    rows: list, key, label, n, sketch, low and high (bounds of the distance to the leader). A list is split into blocks of rows and pairs of blocks, so that no
-    task holds more than two blocks of it.
+    First the member nearest to the least set, then one outside the greatest component.
     """
-    margin = 1 - law.percent / 100 + 1e-9
-    sizes = rows.groupBy("list").agg(F.count("*").alias("rows"))
-    parts = F.ceil(F.col("rows") / block).cast("int")
-    rows = rows.join(sizes, "list").withColumn("parts", parts)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select(
-        "list", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-        "part", "key", "label", "n", "sketch", "low", "high")
+    rank = F.struct(F.col("low") if turn == 0 else F.lit(0.0), F.xxhash64(F.lit(turn), "key"))
+    candidates = rows if turn == 0 else rows.where("not main")
+    return candidates.groupBy("list").agg(
+        F.min_by(F.struct("key", "label"), rank).alias("pick")).select(
+        "list", F.col("pick.key").alias("leader"), F.col("pick.label").alias("its_label"))
+
+
+def set_bytes(texts: DataFrame, words: int, seed: int) -> DataFrame:
+    """key, n and the shingle hashes of each text, in order, as bytes."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words, seed)
+        for batch in slices(batches, "text"):
+            row, h = shingler.hashes(batch.column("text"))
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("key"), pa.array(np.diff(ends), pa.int64()),
+                pa.array([h[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])], pa.binary())], ["key", "n", "hashes"])
+
+    return texts.select("key", "text").mapInArrow(describe, "key bigint, n bigint, hashes binary")
+
+
+def joining_links(rows: DataFrame, sets: DataFrame, law: Law, part_bytes: int = 32 << 20) -> DataFrame:
+    """Links (a, b) that join the components of each family of ``open_members`` as far as its sets are linked.
+
+    Members outside a family's greatest component meet all members, in parts of about ``part_bytes`` a side. Inside a
+    part sizes and fine sketches rule most pairs out, the others are compared as sets; only the first link between two
+    components is returned.
+    """
+    rows = rows.join(sets, "key")
+    size = 8 * F.col("n") + 64
+    parts = rows.groupBy("list").agg(
+        F.ceil(F.sum(size) / part_bytes).cast("int").alias("parts"),
+        F.ceil(F.sum(F.when(~F.col("main"), size)) / part_bytes).cast("int").alias("outer"))
+    rows = rows.join(parts, "list").withColumn("hash", F.xxhash64(F.lit(5), "key"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    part = lambda n: F.pmod("hash", F.col(n)).cast("int")
+    columns = ["list", "p", "q", "asked", "key", "label", "hashes"]
+    inner = rows.withColumns({"asked": F.lit(False), "q": part("parts")}).withColumn("p", every("outer")).select(*columns)
+    asked = rows.where("not main").withColumns({"asked": F.lit(True), "p": part("outer")})
+    asked = asked.withColumn("q", every("parts")).select(*columns)
 
     def compare(group: pa.Table) -> pa.Table:
-        p, q = group.column("p")[0].as_py(), group.column("q")[0].as_py()
-        part, key, label, n = (group.column(c).to_numpy() for c in ("part", "key", "label", "n"))
-        low, high = (group.column(c).to_numpy() for c in ("low", "high"))
-        raw = group.column("sketch").to_pylist()
+        is_asked = np.array(group.column("asked").to_pylist(), bool)
+        key, label = group.column("key").to_numpy(), group.column("label").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
+        n = np.array([len(x) for x in sets])
+        component = np.unique(label, return_inverse=True)[1]
+        row = np.repeat(np.arange(len(sets)), n)
+        raw = odd_sketches(row, np.concatenate(sets), n, fine=4)
         wide = np.array([len(x) for x in raw])
-        slot, sketches = np.zeros(len(key), np.int64), {}
-        for w in np.unique(wide):
-            at = np.flatnonzero(wide == w)
-            slot[at] = np.arange(len(at))
-            sketches[w, w] = np.frombuffer(b"".join([raw[i] for i in at]), np.uint8).reshape(len(at), w)
-
-        def folded(w: int, to: int) -> np.ndarray:
-            if (w, to) not in sketches:
-                sketches[w, to] = _folded(sketches[w, w], to)
-            return sketches[w, to]
-
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in np.flatnonzero(part == p):
-            may = (part == q) & (label != label[i]) & (low - high[i] <= margin) & (low[i] - high <= margin)
-            may &= 100 * np.minimum(n, n[i]) >= law.percent * np.maximum(n, n[i])
-            if p == q:
-                may[:i + 1] = False
-            found = np.flatnonzero(may)
-            for w in np.unique(wide[found]):
-                at, to = found[wide[found] == w], min(w, wide[i])
-                differ = folded(w, to)[slot[at]] ^ folded(wide[i], to)[slot[i]]
-                at = at[np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= law.differ(n[at] + n[i])]
-                out_a.append(np.minimum(key[at], key[i]))
-                out_b.append(np.maximum(key[at], key[i]))
-        return pa.table({"a": pa.array(np.concatenate(out_a)), "b": pa.array(np.concatenate(out_b))})
-
-    return rows.groupBy("list", "p", "q").applyInArrow(compare, "a bigint, b bigint").distinct()
-
-
-def similar_components(docs: DataFrame, words: int = 5, percent: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
+        inner = np.flatnonzero(~is_asked)
+        at = {w: inner[wide[inner] == w] for w in np.unique(wide[inner])}
+        sketches = {(w, w): np.frombuffer(b"".join([raw[i] for i in at[w]]), np.uint8).reshape(len(at[w]), w) for w in at}
+        links = []
+        for i in np.flatnonzero(is_asked):
+            own = np.frombuffer(raw[i], np.uint8).reshape(1, -1)
+            for w in at:
+                may = (component[at[w]] != component[i]) & (
+                    100 * np.minimum(n[at[w]], n[i]) >= law.percent * np.maximum(n[at[w]], n[i]))
+                found = np.flatnonzero(may)
+                if not len(found):
+                    continue
+                to = min(w, wide[i])
+                if (w, to) not in sketches:
+                    sketches[w, to] = _folded(sketches[w, w], to)
+                differ = np.bitwise_count(sketches[w, to][found] ^ _folded(own, to)).sum(axis=1, dtype=np.int64)
+                for f in np.argsort(differ, kind="stable"):
+                    j = at[w][found[f]]
+                    if component[j] == component[i] or differ[f] > law.differ(n[j] + n[i]):
+                        continue
+                    place = np.searchsorted(sets[j], sets[i])
+                    common = int((sets[j][np.minimum(place, n[j] - 1)] == sets[i]).sum())
+                    if law.linked(common, n[i], n[j]):
+                        links.append((key[i], key[j]))
+                        component[component == component[j]] = component[i]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return inner.union(asked).groupBy("list", "p", "q").applyInArrow(compare, "a bigint, b bigint")
+
+
+def similar_components(
+    docs: DataFrame, words: int = 5, percent: int = 80, carry: tuple[str, ...] = (), label: str | None = None,
+    rounds: int = 4,
+) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of ``docs``.
 
-    Columns named by ``carry`` are kept too.
+    Columns named by ``carry`` are kept too; ``label`` names a column for the component itself (null for empty sets), which tells
+    components apart whatever their ids are.
 
     Words are runs without ASCII blanks, A-Z lower-cased. A text of fewer than ``words`` words is one shingle; a null
     or blank text is empty, linked with nothing, its own component. Equal texts are one class whatever their number.
-    Only doc_id and text are read; ``docs`` should be a stored table. Runs several jobs when called. A null doc_id is
-    the component's only if it has no other.
+    Only doc_id and text are read, so other columns may have any name; texts of any length are read in parts; an empty
+    table gives no rows. ``docs`` should be a stored table. Runs several jobs when called. A null doc_id is
+    the component's only if it has no other. ``rounds`` of leaders come before the comparison inside tasks; their number does not
+    change the result.
     """
     law = Law(percent)
     docs = docs.select("doc_id", "text", *carry)
@@ -384,35 +448,41 @@ def similar_components(docs: DataFrame, words: int = 5, percent: int = 80, carry
         classes = store(classes, "classes")
         if classes.where("clash").isEmpty():
             break  # else two different sets got one key: draw other hashes
+    else:
+        raise RuntimeError("different sets share a 64-bit key under eight hashes")
     index = block_rows(docs, words, seed, law)
     leader = F.min("key").over(Window.partitionBy("block"))
-    most = F.max("key").over(Window.partitionBy("block"))
-    lists = index.withColumn("leader", leader).withColumn("most", most).where("leader < most")
-    lists = store(lists.select("block", "key", "leader"), "lists")
+    lists = index.withColumn("leader", leader).where("leader < key")
+    stars = store(lists.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), "stars")
 
-    stars = lists.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     first = verified(stars, classes, docs, words, seed, law)
-    labels = connected(first.where("linked").select("a", "b"))
-
-    labelled = lists.join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "key"))
-    mixed = labelled.groupBy("block").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
-    # the same sets often share several blocks: a list is told by its leader, once per set
-    rest = labelled.join(mixed.select("block"), "block", "left_semi").where("key <> leader")
-    rest = rest.join(first.select(F.col("a").alias("leader"), F.col("b").alias("key"), "low", "high"), ["leader", "key"])
-    rest = rest.join(classes.select("key", "n", "sketch"), "key")
-    rest = rest.select(F.col("block").alias("list"), "key", "label", "n", "sketch", "low", "high").distinct()
-    pairs = store(open_pairs(rest, law), "pairs")
-    if not pairs.isEmpty():
-        second = verified(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), classes, docs, words, seed, law)
-        labels = connected(first.where("linked").select("a", "b").union(second.where("linked").select("a", "b")))
+    edges = first.where("linked").select("a", "b")
+    members = first.select(F.col("a").alias("list"), F.col("b").alias("key"), "low")
+    labels = connected(edges)
+    for turn in range(rounds):
+        rows = store(open_members(members, labels), "members")
+        if rows.isEmpty():
+            break
+        led = rows.join(elected(rows, turn), "list").where("key <> leader")
+        pairs = store(led.where("label <> its_label").select(
+            F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
+        edges = edges.union(verified(pairs, classes, docs, words, seed, law).where("linked").select("a", "b"))
+        members = store(led.select("list", "key", "low"), "members")
+        labels = connected(edges)
+    rows = store(open_members(members, labels), "members")
+    if not rows.isEmpty():
+        sets = store(set_bytes(texts_of(rows.select("key").distinct(), classes, docs), words, seed), "sets")
+        edges = edges.union(store(joining_links(rows, sets, law), "links"))
+        labels = connected(edges)
 
     named = labels.withColumnRenamed("node", "key").join(classes.select("key", "doc_id"), "key")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "label").select("key", "component_id")
+    named = named.join(least, "label").select("key", "label", "component_id")
     own = classes.select("key", F.col("doc_id").alias("own_id")).join(named, "key", "left")
-    own = own.select("key", F.coalesce("component_id", "own_id").alias("component_id"))
+    own = own.select("key", F.coalesce("label", "key").alias("__label"), F.when(
+        F.col("label").isNull(), F.col("own_id")).otherwise(F.col("component_id")).alias("component_id"))
     out = facts.join(own, "key", "left")
     return out.select(
         "doc_id", *carry, F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *([F.when(F.col("n") > 0, F.col("__label")).alias(label)] if label else []))

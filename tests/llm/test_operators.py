@@ -118,14 +118,48 @@ def test_jaccard_equals_brute_force(spark, none, words, percent):
     assert jaccard.similar_components(none).count() == 0
 
 
-def test_far_leader_excludes_no_link(spark):
-    """A leader that is far by an unknown distance leaves its list's other pairs open; a bound that is known does not."""
-    sketch = bytes(32)
-    rows = [("x", 1, 0.21, 1.0), ("x", 2, 0.1, 0.1), ("y", 3, 0.9, 1.0), ("y", 4, 0.1, 0.1)]
-    table = spark.createDataFrame(
-        [(7 if x == "x" else 8, key, key, 100, sketch, low, high) for x, key, low, high in rows],
-        "list long, key long, label long, n long, sketch binary, low double, high double")
-    assert [tuple(r) for r in jaccard.open_pairs(table, jaccard.Law(80)).collect()] == [(1, 2)]
+def plain_components(sets, percent):
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if find(i) != find(j) and 100 * min(len(a), len(sets[j])) >= percent * max(len(a), len(sets[j])):
+                if 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                    x, y = sorted((find(i), find(j)))
+                    parent[y] = x
+    return [find(i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("rounds, part_bytes", [(0, 20_000), (4, 32 << 20)])
+def test_jaccard_of_a_large_near_group(spark, rounds, part_bytes, monkeypatch):
+    """Near copies of one text, about half of them linked, in more than one part of a family; no pairs are made of it."""
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    for _ in range(700):
+        at = set(rng.integers(0, 150, rng.integers(1, 16)).tolist())
+        texts.append(" ".join(f"e{rng.integers(10**9)}" if i in at else w for i, w in enumerate(base)))
+    joined = []
+    plain = jaccard.joining_links
+
+    def counted(rows, sets, law):
+        out = plain(rows, sets, law, part_bytes)
+        joined.append((rows.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "joining_links", counted)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in jaccard.similar_components(table, 5, 80, rounds=rounds, label="own").collect()}
+    expected = plain_components([shingles(t, 5) for t in texts], 80)
+    assert [got[i].component_id for i in range(len(texts))] == expected
+    assert len({r.own for r in got.values()}) == len(set(expected)) > 100
+    assert all(made <= 3 * rows for rows, made in joined)
 
 
 def test_sketches_bound_the_difference(spark):
