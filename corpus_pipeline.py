@@ -24,18 +24,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at 0.8 stays: the one with the least doc_id.
+    """One document of each group linked by five-word shingles at 0.8 stays: that with the least (doc_id, text hash).
 
-    Repeated rows (equal id and text) are one document. Blank texts are linked with nothing and stay.
+    A null doc_id comes last. Groups are told apart by their own label, so null and repeated ids keep one document of
+    a group, too; repeated rows (equal id and text) are one document. Blank texts are linked with nothing and stay.
     """
     keyed = docs.select(*COLUMNS).withColumn("__text", F.xxhash64("text"))
-    groups = store(jaccard.similar_components(keyed, carry=("__text",)), "groups").where("n_shingles > 0")
-    gone = groups.where("not (doc_id <=> component_id)").select("doc_id", "__text").distinct()
-    gone = store(gone.select(F.col("doc_id").alias("g_id"), F.col("__text").alias("g_text")), "gone")
-    again = groups.groupBy("doc_id", "__text").count().where("count > 1")
-    again = store(again.select(F.col("doc_id").alias("g_id"), F.col("__text").alias("g_text")), "again")
+    groups = jaccard.similar_components(keyed, carry=("__text",), label="__group")
+    groups = store(groups.where("n_shingles > 0").groupBy("__group", "doc_id", "__text").count(), "groups")
+    first = groups.groupBy("__group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__text")).alias("first"))
+    marked = groups.join(first, "__group").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("__text") == F.col("first.__text")))
+    named = lambda rows: store(rows.select(
+        F.col("doc_id").alias("g_id"), F.col("__text").alias("g_text")), "named")
     same = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("__text") == F.col("g_text"))
-    kept = keyed.join(gone, same, "left_anti")
+    kept = keyed.join(named(marked.where("not stays")), same, "left_anti")
+    again = named(marked.where("stays and count > 1"))
     if not again.isEmpty():
         once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "__text"])
         kept = kept.join(again, same, "left_anti").unionByName(once)
@@ -59,7 +63,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("secrets", secrets), ("packing", pack)]
 
-#: SQL has no tokenizer, so there is none for the rows of run(); the tests hold each stage against brute force.
+#: SQL has no tokenizer, so there is none for the rows of run(); tests/llm/test_pipeline.py holds the stages against
+#: plain Python on a small table.
 ORACLE_SQL = None
 
 
