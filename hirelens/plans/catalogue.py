@@ -661,5 +661,44 @@ def partition_counts(spark, sf_dir):
         streaming.partition_counts(messages), f"{scratch}/out", f"{scratch}/state", streaming.ONCE
     )
     state.awaitTermination()
-    newest = max(p["batchId"] for p in state.recentProgress)
+    newest = max((p["batchId"] for p in state.recentProgress), default=None)
+    if newest is None:  # a stream without a row has no batch
+        return spark.createDataFrame([], "partition int, message_count bigint")
     return ranking.by_key(spark.read.parquet(f"{scratch}/out/batch={newest}"), "partition")
+
+
+@query
+def stream_dedup_table(spark, sf_dir):
+    """Users seen in the event stream, each once, their ids kept in a table instead of the state store."""
+    scratch = scratch_dir(spark, "ids")
+    events = _stream(spark, sf_dir, "events").select("user_id")
+    streaming.land_first_seen(events, "user_id", f"{scratch}/out", f"{scratch}/state", streaming.ONCE).awaitTermination()
+    return streaming.first_seen_rows(spark, f"{scratch}/out", events.schema)
+
+
+@query
+def rolled_landing(spark, sf_dir):
+    """Event messages landed in files that roll by size, read back and counted by type."""
+    scratch = scratch_dir(spark, "rolled")
+    messages = _stream(spark, sf_dir, "events").select(
+        F.col("event_type").alias("value"), (F.col("user_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"))
+    streaming.land_rolled(
+        messages, f"{scratch}/out", f"{scratch}/state", clock=F.lit("2026-01-02 03:04:05").cast("timestamp"),
+        trigger=streaming.ONCE, roll_bytes=64 << 10,
+    ).awaitTermination()
+    return rollups.count_by(files.read_landed(spark, f"{scratch}/out"), "dt", "value", name="message_count")
+
+
+@query
+def stream_totals(spark, sf_dir):
+    """Rows of a whole stream run, from the progress of all its batches."""
+    scratch = scratch_dir(spark, "progress")
+    with streaming.ProgressTable(spark, f"{scratch}/progress") as progress:
+        run = (
+            _stream(spark, sf_dir, "events").writeStream.format("noop")
+            .option("checkpointLocation", f"{scratch}/state").trigger(**streaming.ONCE).start()
+        )
+        run.awaitTermination()
+        progress.wait(run)
+    return progress.totals().select("rows")

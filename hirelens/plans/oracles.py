@@ -752,3 +752,8 @@ ORACLES["cleaning_run"] = " UNION ALL ".join([
     f"SELECT 'high_value', CAST(ord AS VARCHAR), collection_count FROM ({ORACLES['high_value_file']})",
     f"SELECT 'report', metric, value FROM ({ORACLES['cleaning_report']})",
 ])
+ORACLES["stream_dedup_table"] = ORACLES["stream_dedup"]
+ORACLES["rolled_landing"] = (
+    "SELECT '20260102' AS dt, event_type AS value, count(*) AS message_count FROM events GROUP BY 2"
+)
+ORACLES["stream_totals"] = "SELECT count(*) AS rows FROM events"

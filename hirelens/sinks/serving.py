@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from itertools import islice
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -152,6 +155,57 @@ def upsert_jdbc(
     df.foreachPartition(send)
 
 
+def merge_sql(table: str, staging: str, keys: list[str], measures: list[str], mysql: bool = True, mark: str = "?") -> str:
+    """One statement that merges the staged rows of a run into a table, MySQL-like or with ``ON CONFLICT``."""
+    columns = ", ".join(keys + measures)
+    source = f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging} WHERE run_id = {mark}"
+    if mysql:
+        changes = [f"{m} = VALUES({m})" for m in measures] + ["update_time = CURRENT_TIMESTAMP"]
+        return f"{source} ON DUPLICATE KEY UPDATE {', '.join(changes)}"
+    changes = [f"{m} = excluded.{m}" for m in measures] + ["update_time = CURRENT_TIMESTAMP"]
+    return f"{source} ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {', '.join(changes)}"
+
+
+def upsert_jdbc_atomic(
+    df: DataFrame, connect: Callable[[], object], table: str, staging: str, keys: list[str],
+    mysql: bool = True, mark: str = "?", batch_size: int = 1000,
+) -> None:
+    """Upsert in one transaction: all rows or none (K9).
+
+    Tasks fill ``staging`` (the columns of ``df``, run_id and part) over connections of their own; when all have
+    ended, one statement merges the rows of this run and the same transaction empties them from the staging table. A
+    retried task first removes what its earlier attempt left; a failed run leaves the target as it was, and its staged
+    rows are never merged, as they carry the name of that run.
+    """
+    run_id = uuid.uuid4().hex
+    columns = df.columns
+    insert = (f"INSERT INTO {staging} (run_id, part, {', '.join(columns)}) "
+              f"VALUES ({', '.join([mark] * (len(columns) + 2))})")
+    clear = f"DELETE FROM {staging} WHERE run_id = {mark}"
+
+    def send(rows: Iterator) -> None:
+        part = TaskContext.get().partitionId()
+        connection = connect()
+        try:
+            cursor = connection.cursor()
+            cursor.execute(f"{clear} AND part = {mark}", (run_id, part))
+            while batch := [(run_id, part, *(row[c] for c in columns)) for row in islice(rows, batch_size)]:
+                cursor.executemany(insert, batch)
+            connection.commit()
+        finally:
+            connection.close()
+
+    df.foreachPartition(send)
+    connection = connect()
+    try:
+        cursor = connection.cursor()
+        cursor.execute(merge_sql(table, staging, keys, [c for c in columns if c not in keys], mysql, mark), (run_id,))
+        cursor.execute(clear, (run_id,))
+        connection.commit()
+    finally:
+        connection.close()
+
+
 def truncate_options(url: str, table: str, **more: str) -> dict[str, str]:
     """JDBC writer options that empty a table and keep its definition (K10); mode overwrite."""
     return {"url": url, "dbtable": table, "truncate": "true", **more}

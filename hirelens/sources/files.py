@@ -57,4 +57,4 @@ def read_landed(spark: SparkSession, root: str) -> DataFrame:
     A filter on ``dt`` prunes directories, so one day reads one day's files.
     """
     schema = T.StructType().add("value", "string").add("dt", "string")
-    return spark.read.schema(schema).format("text").load(root)
+    return spark.read.schema(schema).format("text").load(root).select("value", "dt")

@@ -318,3 +318,34 @@ def test_database_upsert_sends_batches_from_tasks(spark, tmp_path):
         "job_count = VALUES(job_count), update_time = CURRENT_TIMESTAMP"
     )
     assert serving.truncate_options("jdbc:x", "t")["truncate"] == "true"
+
+
+def test_atomic_upsert_is_all_or_nothing(spark, tmp_path):
+    """Over an embedded database file: a failing partition, or a failing merge, leaves the target untouched."""
+    import sqlite3
+
+    import cloudpickle_compat
+
+    cloudpickle_compat.by_value(__name__)
+    path = str(tmp_path / "t.db")
+
+    def connect():
+        return sqlite3.connect(path, timeout=60)
+
+    db = connect()
+    db.execute("CREATE TABLE t (city TEXT PRIMARY KEY, job_count INT CHECK (job_count < 1000), update_time TEXT)")
+    db.execute("CREATE TABLE s (run_id TEXT, part INT, city TEXT, job_count INT)")
+    db.execute("INSERT INTO t VALUES ('0', 7, 'then'), ('x', 8, 'then')")
+    db.commit()
+    read = lambda: sorted(connect().execute("SELECT city, job_count FROM t"))
+    df = spark.range(40).select(F.col("id").cast("string").alias("city"), F.col("id").alias("job_count")).repartition(4)
+    failing = df.withColumn("job_count", F.when(F.col("city") == "39", F.raise_error(F.lit("lost")).cast("long")).otherwise(1))
+    for bad in (failing, df.withColumn("job_count", F.col("job_count") * 100)):
+        with pytest.raises(Exception):
+            serving.upsert_jdbc_atomic(bad, connect, "t", "s", ["city"], mysql=False)
+        assert read() == [("0", 7), ("x", 8)]
+    serving.upsert_jdbc_atomic(df, connect, "t", "s", ["city"], mysql=False, batch_size=3)
+    assert read() == sorted([(str(i), i) for i in range(40)] + [("x", 8)])
+    assert serving.merge_sql("t", "s", ["k"], ["n"]) == (
+        "INSERT INTO t (k, n) SELECT k, n FROM s WHERE run_id = ? "
+        "ON DUPLICATE KEY UPDATE n = VALUES(n), update_time = CURRENT_TIMESTAMP")

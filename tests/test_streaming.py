@@ -79,3 +79,56 @@ def test_dedup_across_batches(spark, tmp_path):
     )
     got = sorted(r.job_id for r in spark.read.parquet(str(tmp_path / "o")).collect())
     assert got == ["", "", "1", "2", "3", "late"]
+
+
+def test_table_dedup_over_late_repeats_and_restarts(spark, tmp_path):
+    """A late repeat and a late new id are both right; a batch that ran without being noted adds nothing again."""
+    root = tmp_path / "in"
+    root.mkdir()
+    for n, ids in enumerate([("1", "2", " "), ("1", "", None), ("3", "2", "3"), ("late", "1")]):
+        with open(root / f"f{n}.json", "w", encoding="utf-8") as f:
+            f.write("".join(json.dumps({"job_id": i}) + "\n" for i in ids))
+        stream = spark.readStream.schema("job_id string").option("maxFilesPerTrigger", 1).json(str(root))
+        args = (stream, "job_id", str(tmp_path / "o"), str(tmp_path / "s"), S.ONCE)
+        query = S.land_first_seen(*args)
+        query.awaitTermination()
+        assert query.exception() is None and not any(p["stateOperators"] for p in query.recentProgress)
+    (tmp_path / "s" / "commits" / "3").unlink()  # as if the session had ended before the batch was noted
+    (tmp_path / "s" / "commits" / ".3.crc").unlink(missing_ok=True)
+    S.land_first_seen(*args).awaitTermination()
+    got = S.first_seen_rows(spark, str(tmp_path / "o"), stream.schema).collect()
+    assert sorted(str(r.job_id) for r in got) == sorted([" ", "", "1", "2", "3", "None", "late"])
+
+
+def test_landed_files_roll_by_size(spark, source, tmp_path):
+    """No file is over the limit plus a message, none is cut by count, all messages are there once."""
+    args = (source, str(tmp_path / "out"), str(tmp_path / "state"))
+    for day in ("2026-01-02", "2026-01-03"):  # the replay of a batch keeps its date
+        clock = F.lit(f"{day} 23:59:59").cast("timestamp")
+        S.land_rolled(*args, clock=clock, trigger=S.ONCE, roll_bytes=40).awaitTermination()
+        for name in ("2", ".2.crc"):
+            (tmp_path / "state" / "commits" / name).unlink(missing_ok=True)
+    from hirelens.sources.files import read_landed
+
+    landed = read_landed(spark, str(tmp_path / "out"))
+    assert sorted((r.value, r.dt) for r in landed.collect()) == sorted(
+        (json.dumps({"job_id": str(i)}), "20260102") for i in range(30))
+    files = list((tmp_path / "out").rglob("*.txt"))
+    longest = max(len(json.dumps({"job_id": str(i)})) + 1 for i in range(30))
+    assert all(f.stat().st_size <= 40 + longest for f in files) and any(f.stat().st_size > 40 for f in files)
+
+
+def test_totals_of_more_than_a_hundred_batches(spark, tmp_path):
+    root = tmp_path / "in"
+    root.mkdir()
+    for n in range(104):
+        (root / f"f{n:03}.json").write_text(f'{{"n": {n}}}\n' * (1 + n % 3), encoding="utf-8")
+    stream = spark.readStream.schema("n int").option("maxFilesPerTrigger", 1).json(str(root))
+    with S.ProgressTable(spark, str(tmp_path / "progress")) as table:
+        query = (stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "s"))
+                 .trigger(**S.ONCE).start())
+        query.awaitTermination()
+        assert table.wait(query)
+        total = table.totals().first()
+    assert (total["batches"], total["rows"]) == (104, sum(1 + n % 3 for n in range(104)))
+    assert len(query.recentProgress) <= 100 and total["rows_per_second"] > 0
