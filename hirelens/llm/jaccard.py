@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import slices, store, text_bytes
-from hirelens.llm.components import connected
+from hirelens.llm.components import connected, joined
 
 U64 = np.uint64
 LEAST_BITS = 256
@@ -456,9 +456,8 @@ def similar_components(
     stars = store(lists.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), "stars")
 
     first = verified(stars, classes, docs, words, seed, law)
-    edges = first.where("linked").select("a", "b")
     members = first.select(F.col("a").alias("list"), F.col("b").alias("key"), "low")
-    labels = connected(edges)
+    labels = connected(first.where("linked").select("a", "b"))
     for turn in range(rounds):
         rows = store(open_members(members, labels), "members")
         if rows.isEmpty():
@@ -466,14 +465,12 @@ def similar_components(
         led = rows.join(elected(rows, turn), "list").where("key <> leader")
         pairs = store(led.where("label <> its_label").select(
             F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
-        edges = edges.union(verified(pairs, classes, docs, words, seed, law).where("linked").select("a", "b"))
-        members = store(led.select("list", "key", "low"), "members")
-        labels = connected(edges)
+        labels = joined(labels, verified(pairs, classes, docs, words, seed, law).where("linked").select("a", "b"))
+        members = led.select("list", "key", "low")
     rows = store(open_members(members, labels), "members")
     if not rows.isEmpty():
         sets = store(set_bytes(texts_of(rows.select("key").distinct(), classes, docs), words, seed), "sets")
-        edges = edges.union(store(joining_links(rows, sets, law), "links"))
-        labels = connected(edges)
+        labels = joined(labels, store(joining_links(rows, sets, law), "links"))
 
     named = labels.withColumnRenamed("node", "key").join(classes.select("key", "doc_id"), "key")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))

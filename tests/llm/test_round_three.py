@@ -296,3 +296,24 @@ def test_simhash_of_nulls_and_nothing(spark):
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(table).collect()), key=str)
     assert got == sorted([(None, 3), (3, 3), (3, 3), (4, 4), (None, 4), (5, 5), (None, None)], key=str)
     assert simhash.near_duplicates(table.where("false")).count() == 0
+
+
+# ---- components ----
+
+
+def test_components_of_stars_chains_and_more_edges(spark):
+    from hirelens.llm import components
+
+    pick = random.Random(9)
+    names = pick.sample(range(-10**12, 10**12), 700)
+    edges = [(names[0], n) for n in names[1:200]] + list(zip(names[200:500], names[201:501])) + [(names[600], names[600])]
+    more = [(names[150], names[320]), (names[650], names[651]), (names[651], names[5])]
+    table = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    labels = components.connected(table(edges))
+    groups = lambda labels: sorted(
+        sorted(n for n, l in rows if l == label) for rows in [[(r.node, r.label) for r in labels.collect()]]
+        for label in {l for _, l in rows})
+    assert groups(labels) == sorted([sorted(names[:200]), sorted(names[200:501])])
+    after = components.joined(labels, table(more))
+    assert groups(after) == [sorted(names[:501] + names[650:652])]
+    assert components.joined(components.connected(table([])), table(more)).count() == 5
