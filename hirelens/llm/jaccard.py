@@ -12,7 +12,7 @@ with the leader only; what is linked to it is connected. A family whose members
 another leader, the member nearest to the first one: copies differ from each other by the edits of both and from their
 original by their own alone, so the original or a set close to it is elected. Later leaders come from the members
 outside the family's greatest component. A leader is compared with the members of other components; so a round has
-no more rows than the families have members. What a few rounds leave open is compared inside the tasks, sets outside the
+no more rows than the families have members. What is open when rounds no longer pay is compared inside the tasks, sets outside the
 greatest component with all others, in parts of bounded size; a task returns links that join components, never pairs.
 """
 
@@ -422,7 +422,7 @@ def joining_links(rows: DataFrame, sets: DataFrame, law: Law, part_bytes: int =
 
 def similar_components(
     docs: DataFrame, words: int = 5, percent: int = 80, carry: tuple[str, ...] = (), label: str | None = None,
-    rounds: int = 4,
+    rounds: int = 8, many: int = 50_000,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of ``docs``.
 
@@ -433,8 +433,9 @@ def similar_components(
     or blank text is empty, linked with nothing, its own component. Equal texts are one class whatever their number.
     Only doc_id and text are read, so other columns may have any name; texts of any length are read in parts; an empty
     table gives no rows. ``docs`` should be a stored table. Runs several jobs when called. A null doc_id is
-    the component's only if it has no other. ``rounds`` of leaders come before the comparison inside tasks; their number does not
-    change the result.
+    the component's only if it has no other. Leaders are elected, ``rounds`` times at most, while more than ``many``
+    members are open and a round closes a quarter of them; what is open then is compared inside tasks. Neither number
+    changes the result.
     """
     law = Law(percent)
     docs = docs.select("doc_id", "text", *carry)
@@ -458,17 +459,20 @@ def similar_components(
     first = verified(stars, classes, docs, words, seed, law)
     members = first.select(F.col("a").alias("list"), F.col("b").alias("key"), "low")
     labels = connected(first.where("linked").select("a", "b"))
+    rows = store(open_members(members, labels), "members")
+    still = rows.count()
     for turn in range(rounds):
-        rows = store(open_members(members, labels), "members")
-        if rows.isEmpty():
+        if still <= many:
             break
         led = rows.join(elected(rows, turn), "list").where("key <> leader")
         pairs = store(led.where("label <> its_label").select(
             F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
         labels = joined(labels, verified(pairs, classes, docs, words, seed, law).where("linked").select("a", "b"))
-        members = led.select("list", "key", "low")
-    rows = store(open_members(members, labels), "members")
-    if not rows.isEmpty():
+        rows = store(open_members(led.select("list", "key", "low"), labels), "members")
+        before, still = still, rows.count()
+        if still > 0.75 * before:
+            break
+    if still:
         sets = store(set_bytes(texts_of(rows.select("key").distinct(), classes, docs), words, seed), "sets")
         labels = joined(labels, store(joining_links(rows, sets, law), "links"))
 

@@ -136,8 +136,8 @@ def plain_components(sets, percent):
     return [find(i) for i in range(len(sets))]
 
 
-@pytest.mark.parametrize("rounds, part_bytes", [(0, 20_000), (4, 32 << 20)])
-def test_jaccard_of_a_large_near_group(spark, rounds, part_bytes, monkeypatch):
+@pytest.mark.parametrize("many, part_bytes", [(50_000, 20_000), (20, 32 << 20)])
+def test_jaccard_of_a_large_near_group(spark, many, part_bytes, monkeypatch):
     """Near copies of one text, about half of them linked, in more than one part of a family; no pairs are made of it."""
     rng = np.random.default_rng(8)
     base = [f"b{i}" for i in range(150)]
@@ -155,7 +155,7 @@ def test_jaccard_of_a_large_near_group(spark, rounds, part_bytes, monkeypatch):
 
     monkeypatch.setattr(jaccard, "joining_links", counted)
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r for r in jaccard.similar_components(table, 5, 80, rounds=rounds, label="own").collect()}
+    got = {r.doc_id: r for r in jaccard.similar_components(table, 5, 80, many=many, label="own").collect()}
     expected = plain_components([shingles(t, 5) for t in texts], 80)
     assert [got[i].component_id for i in range(len(texts))] == expected
     assert len({r.own for r in got.values()}) == len(set(expected)) > 100
