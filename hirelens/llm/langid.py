@@ -134,26 +134,39 @@ def floors(texts: list[str], idf: np.ndarray, centroids: np.ndarray, evidence: i
     return out
 
 
+def least_rows(rows: DataFrame, per_language: int) -> DataFrame:
+    """The rows of each language that are least by order and mark, taken from the least of 64 parts, so that what
+    meets in the one task of a language does not grow with the input."""
+    first, whole = (Window.partitionBy("lang", *part).orderBy("order", "mark") for part in (["part"], []))
+    parts = rows.withColumn("part", F.pmod(F.xxhash64("order", "mark", F.monotonically_increasing_id()), F.lit(64)))
+    least = parts.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
+    least = least.withColumn("place", F.row_number().over(whole)).where(F.col("place") <= per_language)
+    return least.drop("part", "place")
+
+
 def fit(training: DataFrame, per_language: int = 600, k: int = 3, quantile: float = 0.01,
         share: float = 0.8, evidence: int = 12) -> dict:
     """A model from ``training`` (columns text, lang, order).
 
     Document frequencies cover all its rows. Centroids are clustered from at most ``per_language`` documents of each
     language, those least by ``order``; a row without text, letters or language teaches nothing. Languages are few
-    (codes), so that their centroids are a small table. Each language gets floors of the cosine, see there. Ties in ``order`` go by text. The model may be empty.
+    (codes), so that their centroids are a small table. Each language gets floors of the cosine, see there. Ties in ``order`` (a bigint) go by a hash of the text. The model may be empty.
     """
     training = training.where(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER))
     n, held = document_frequencies(training)
     idf = np.log((1 + n) / (1 + held)) + 1
-    # the least of 64 parts first, so that what meets in the one task of a language does not grow with the input
-    first, whole = (Window.partitionBy("lang", *part).orderBy("order", "text") for part in (["part"], []))
-    parts = training.withColumn("part", F.pmod(F.xxhash64("order", "text"), F.lit(64)))
-    least = parts.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
-    sample = least.drop("part").withColumn("place", F.row_number().over(whole)).where(F.col("place") <= per_language)
+    training = training.select("lang", "text", F.col("order").cast("long").alias("order"), F.xxhash64("text").alias("mark"))
+    # chosen on narrow rows; the texts of the others do not leave their tasks
+    narrow = least_rows(training.select("lang", "order", "mark"), per_language)
+    last = narrow.groupBy("lang").agg(F.max(F.struct("order", "mark")).alias("last")).collect()
+    last = training.sparkSession.createDataFrame(
+        [(r["lang"], *r["last"]) for r in last], "lang string, last_order long, last_mark long")
+    near = training.join(last, "lang").where(F.struct("order", "mark") <= F.struct("last_order", "last_mark"))
+    sample = least_rows(near, per_language)
 
     def learn(group: pa.Table) -> pa.Table:
         grams = Grams()
-        texts = group.sort_by([("order", "ascending"), ("text", "ascending")]).column("text").combine_chunks()
+        texts = group.sort_by([("order", "ascending"), ("mark", "ascending")]).column("text").combine_chunks()
         texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
         rows = np.array([np.log1p(c).astype(np.float32) for c in grams.counts(texts)]) * idf.astype(np.float32)
         centroids = clusters(unit(rows), k).astype(np.float64)
@@ -162,7 +175,7 @@ def fit(training: DataFrame, per_language: int = 600, k: int = 3, quantile: floa
                          "centroid": pa.array(centroids.tolist(), pa.list_(pa.float64())),
                          "floors": pa.array([least.tolist()] * len(centroids), pa.list_(pa.float64()))})
 
-    found = sample.select("lang", "text", "order").groupBy("lang").applyInArrow(
+    found = sample.select("lang", "text", "order", "mark").groupBy("lang").applyInArrow(
         learn, "lang string, centroid array<double>, floors array<double>")
     rows = sorted((r["lang"], r["centroid"], r["floors"]) for r in found.collect())
     return {"idf": idf, "langs": [r[0] for r in rows], "centroids": np.array([r[1] for r in rows]).reshape(-1, FEATURES),
