@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hirelens.llm.common import store
+
 
 def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
     """A uniform permutation of n places."""
@@ -37,7 +39,8 @@ def shuffle_shards(
 
     ``size`` is a record's size in bytes, at least 1. ``df`` should be a stored table: it is read twice, and a lost
     task reads its part again. Runs two aggregates when called. Equal records are spread over buckets too: a record
-    that repeats more often than a bucket has rows gets a salt per copy. Columns named ``shard`` and ``slot`` are
+    whose copies are more than a quarter of a bucket's bytes gets a place per copy, so a bucket stays near ``bucket_bytes`` unless a
+    single record is larger. Columns named ``shard`` and ``slot`` are
     replaced. An empty table gives an empty result; nulls hash as such.
     """
     kept = [c for c in df.columns if c not in ("shard", "slot")]
@@ -45,17 +48,29 @@ def shuffle_shards(
     base = base.withColumn("__rec", record_hash(df.select(*kept), seed))
     rows, total = base.agg(F.count("*"), F.sum("__size")).first()
     buckets = max(1, -(-(total or 0) // bucket_bytes))
-    # At most one entry per bucket can repeat more often than a bucket has rows.
-    fair = max(1000, rows // buckets)
-    often = [r[0] for r in base.groupBy("__rec").count().where(F.col("count") > fair).select("__rec").collect()]
-    place = F.xxhash64(F.lit(seed + 1), "__rec")
-    if often:
-        copy = F.xxhash64(F.lit(seed + 2), "__rec", F.monotonically_increasing_id())
-        place = F.when(F.col("__rec").isin(often), copy).otherwise(place)
-    scattered = base.withColumn("__bucket", F.pmod(place, F.lit(buckets)))
+    # records whose copies fill a bucket: one per bucket at most, none as a rule
+    often = base.groupBy("__rec").agg(F.count("*").alias("n"), F.sum("__size").alias("bytes"))
+    often = store(often.where(F.col("n") > 1).where(F.col("bytes") > bucket_bytes / 4).select("__rec"), "often")
+    base = base.withColumn("__place", F.xxhash64(F.lit(seed + 1), "__rec"))
+    if not often.isEmpty():
+        copies = _numbered_copies(base.join(often, "__rec"), kept, seed)
+        copies = copies.withColumn("__place", F.xxhash64(F.lit(seed + 2), "__rec", "__copy")).drop("__copy")
+        base = base.join(often, "__rec", "left_anti").unionByName(copies)
+    scattered = base.withColumn("__bucket", F.pmod("__place", F.lit(buckets))).drop("__place")
     return _second_pass(scattered, kept, rows, shards, seed)
 
 
+def _numbered_copies(rows: DataFrame, kept: list[str], seed: int, chunk: int = 1000) -> DataFrame:
+    """Repeated records with a number per copy, the same however the rows lie: one of them is copied ``n`` times."""
+    other = record_hash(rows.select(*kept), seed + 3)
+    one = rows.groupBy("__rec", other.alias("__other")).agg(
+        F.first(F.struct(*kept, "__size")).alias("row"), F.count("*").alias("n"))
+    chunks = one.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {chunk}"))))
+    chunks = chunks.repartition("__rec", "chunk")
+    copy = F.explode(F.sequence(F.col("chunk") * chunk, F.least(F.col("n"), (F.col("chunk") + 1) * chunk) - 1))
+    return chunks.withColumn("__copy", copy).select("row.*", "__rec", "__copy")
+
+
 def _second_pass(scattered: DataFrame, kept: list[str], rows: int, shards: int, seed: int) -> DataFrame:
     def shuffled(bucket: pa.Table) -> pa.Table:
         number = bucket.column("__bucket")[0].as_py()
@@ -63,12 +78,12 @@ def _second_pass(scattered: DataFrame, kept: list[str], rows: int, shards: int,
         bucket = bucket.take(pa.array(fisher_yates(len(bucket), [seed, number])))
         return bucket.append_column("__pos", pa.array(np.arange(len(bucket)), pa.int64()))
 
+    # joined before the exchange by bucket that the second pass needs anyway
+    starts = store(bucket_starts(scattered.groupBy("__bucket").agg(F.count("*").alias("n"))), "starts")
+    scattered = scattered.join(starts, "__bucket")
     schema = T.StructType([*scattered.schema.fields, T.StructField("__pos", T.LongType())])
-    mixed = scattered.groupBy("__bucket").applyInArrow(shuffled, schema)
-    # One row per bucket: a bounded table, 16 bytes for each 16 MB of input.
-    starts = bucket_starts(scattered.groupBy("__bucket").agg(F.count("*").alias("n")))
-    position = F.col("__start") + F.col("__pos")
-    placed = mixed.join(F.broadcast(starts), "__bucket").withColumn("__at", position)
+    placed = scattered.groupBy("__bucket").applyInArrow(shuffled, schema)
+    placed = placed.withColumn("__at", F.col("__start") + F.col("__pos"))
     shard = F.expr(f"cast((__at * {shards}L) div {max(rows, 1)}L as int)")
     placed = placed.withColumn("shard", shard)
     first = F.expr(f"(shard * {rows}L + {shards - 1}L) div {shards}L")
@@ -87,5 +102,6 @@ def bucket_starts(counts: DataFrame, group: int = 1024) -> DataFrame:
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, rows in slot order within each file."""
-    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """One folder per shard; its files follow each other, and rows are in slot order within each."""
+    ordered = sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    ordered.write.partitionBy("shard").parquet(path)
