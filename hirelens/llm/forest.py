@@ -44,6 +44,10 @@ def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
     least = rows.withColumn("place", place).where(F.col("place") <= ids)
     groups = least.groupBy("h1", "h2").agg(
         F.first("vec").alias("vec"), F.array_sort(F.collect_set("vec_id")).alias("ids"))
+    # a cosine does not change with the length of a vector; very long and very short ones would leave the range
+    top = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    scaled = F.when(top.between(1e-100, 1e100), F.col("vec")).otherwise(F.transform("vec", lambda x: x / top))
+    groups = groups.withColumn("vec", scaled)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x))
     return groups.select(F.col("h1").alias("key"), "vec", norm.alias("norm"), "ids")
 
