@@ -32,24 +32,71 @@ _ISC_AS_IS = (
     "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
     "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
     "USE OR PERFORMANCE OF THIS SOFTWARE.")
+_BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. ")
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. ")
+_BSD_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+    "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+    "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+    "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+    "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author "
+    "or authors of this software dedicate any and all copyright interest in the software to the public domain. We make "
+    "this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend "
+    "this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+    "software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+    "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+    "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+    "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+    "DEALINGS IN THE SOFTWARE.")
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+    "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+    "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+    "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+    "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation "
+    "would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not "
+    "be misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+    "distribution.")
 KNOWN = [
-    ("MIT", "MIT License " + _MIT_GRANT), ("MIT", _MIT_GRANT), ("MIT", "Released under the MIT License."),
+    ("MIT", "MIT License " + _MIT_GRANT), ("MIT", "The MIT License (MIT) " + _MIT_GRANT), ("MIT", _MIT_GRANT),
+    ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."),
     ("ISC", "ISC License " + _ISC_GRANT + _ISC_AS_IS), ("ISC", _ISC_GRANT + _ISC_AS_IS),
     ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
              "hereby granted. " + _ISC_AS_IS),
+    ("BSD-2-Clause", "BSD 2-Clause License " + _BSD_GRANT + _BSD_AS_IS), ("BSD-2-Clause", _BSD_GRANT + _BSD_AS_IS),
+    ("BSD-3-Clause", "BSD 3-Clause License " + _BSD_GRANT + _BSD_NAMES + _BSD_AS_IS),
+    ("BSD-3-Clause", _BSD_GRANT + _BSD_NAMES + _BSD_AS_IS),
+    ("Zlib", "zlib License " + _ZLIB), ("Zlib", _ZLIB),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", _UNLICENSE), ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
-# Steps in order: pattern and what stands in its place. Lines of copyright go whole.
+# Steps in order: pattern and what stands in its place. A statement of copyright goes up to the end of its line, or up to
+# the words a licence goes on with where a text has lost its lines; one without either goes up to its years.
+_GOES_ON = "all rights reserved|permission|redistribution|licensed|released|this software|the software|this is free"
 STEPS = [
-    (r"(^|\n)[^\n]*(copyright[ \t]*(\(c\)|©|[0-9]{4})|©[ \t]*[0-9]{4}|all rights reserved)[^\n]*", "$1"),
+    (r"(copyright[ \t]*(?:\(c\)|©|[0-9]{4})|©[ \t]*[0-9]{4})[^\n]{0,200}?(\n|\z|" + _GOES_ON + ")", " $2"),
+    (r"(copyright[ \t]*)?(?:\(c\)|©)[ \t]*[0-9]{4}([ \t]*[-,–][ \t]*[0-9]{4})*", " "),
+    (r"all rights reserved", " "),
     ("licence", "license"), ("sub-license", "sublicense"), ("non-infringement", "noninfringement"),
     ("favour", "favor"), ("organisation", "organization"), ("https?://", ""), ("&", " and "), ("and/or", "and or"),
     (r"[^\p{L}\p{N}]+", " "),
 ]
-_SQL_STEPS = [(p, r.replace("$1", r"\1")) for p, r in STEPS]
+_SQL_STEPS = [(p, r.replace("$2", r"\2")) for p, r in STEPS]
 
 
 def canonical(text: Column) -> Column:
@@ -65,20 +112,34 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """digest and licence of each known text; a table as long as the list."""
+    """digest and licence of each known text."""
     pairs = F.arrays_zip(F.lit([k for k, _ in known]).alias("licence"), F.lit([t for _, t in known]).alias("text"))
     rows = spark.range(1).select(F.explode(pairs).alias("x"))
     return rows.select(digest(F.col("x.text")).alias("digest"), "x.licence").dropDuplicates(["digest"])
 
 
-def find_licences(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def folder_digests(spark, path: str) -> DataFrame:
+    """digest and licence of a folder of licence texts, one file each and named like its licence, such as the list of
+    texts that many systems keep. Files of one canonical text are one row."""
+    files = spark.read.text(path, wholetext=True).select(
+        digest(F.col("value")).alias("digest"), F.regexp_extract("_metadata.file_name", r"^(.*?)(\.txt)?$", 1).alias("licence"))
+    return files.groupBy("digest").agg(F.min("licence").alias("licence"))
+
+
+def find_licences(docs: DataFrame, known: list[tuple[str, str]] = KNOWN, more: DataFrame | None = None) -> DataFrame:
     """``docs`` with digest, licence (of the whole text, or null) and notices (licences of single lines, in order).
 
+    ``more`` are digests and licences besides the ``known`` texts, for instance of :func:`folder_digests`. A text that
+    differs from all known ones by more than the canonical form, for instance by a clause of its own, is not found.
+
     A null or empty text has the digest of the empty text and no licence. Repeated rows are treated alike. Lines are
     told apart by text, so that the result of a text is worked out once and joined to all its copies.
     """
     kept = [c for c in docs.columns if c not in ("digest", "licence", "notices")]
-    whole = F.broadcast(known_digests(docs.sparkSession, known))  # as long as the list of known texts
+    whole = known_digests(docs.sparkSession, known)
+    if more is not None:
+        whole = whole.union(more.select("digest", "licence")).groupBy("digest").agg(F.min("licence").alias("licence"))
+    whole = store(whole, "known")  # its size on disk lets the optimizer broadcast it if it is small
     text = F.coalesce(F.col("text"), F.lit(""))
     key = [F.xxhash64(F.lit(1), text).alias("__k1"), F.xxhash64(F.lit(2), text).alias("__k2")]
     # A known notice is a line without a copyright line, so a line is canonical by the same steps.
