@@ -317,3 +317,92 @@ def test_components_of_stars_chains_and_more_edges(spark):
     after = components.joined(labels, table(more))
     assert groups(after) == [sorted(names[:501] + names[650:652])]
     assert components.joined(components.connected(table([])), table(more)).count() == 5
+
+
+# ---- buckets, files and samples of earlier operators ----
+
+
+def test_long_repeated_records_spread_over_buckets(spark, tmp_path, monkeypatch):
+    """Copies of a long record fill no bucket alone, short rows stay where they were, and shards are written in order."""
+    from hirelens.llm import sharding
+
+    rows = [(7, "x" * 2000)] * 300 + [(i, f"t{i}") for i in range(500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen = []
+    plain = sharding._second_pass
+    monkeypatch.setattr(sharding, "_second_pass", lambda scattered, *a: seen.append(scattered) or plain(scattered, *a))
+    out = sharding.shuffle_shards(table, 4, F.length("text"), bucket_bytes=60_000)
+    largest = seen[0].groupBy("__bucket").agg(F.sum("__size").alias("b")).agg(F.max("b")).first()[0]
+    assert largest < 3 * 60_000
+    sharding.write_shards(out, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(map(tuple, back.select("doc_id", "text").collect())) == sorted(rows)
+    for shard in range(4):
+        slots = []
+        for path in sorted((tmp_path / "s" / f"shard={shard}").glob("*.parquet")):
+            slots += [r.slot for r in spark.read.parquet(str(path)).collect()]
+        assert slots == list(range(200))
+
+
+def test_cosine_of_very_long_and_short_vectors(spark):
+    from hirelens.llm import forest
+
+    rows = [(0, [1e200, 1.0]), (1, [1e200, 2.0]), (2, [1e-200, 1e-200]), (3, [1.0, 1.0]), (4, [5e-324, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in forest.nearest(table, lambda v: v < 5).collect()}
+    half = 2 ** -0.5
+    expected = {(0, 1): 1, (0, 2): half, (0, 3): half, (0, 4): 1, (2, 3): 1, (2, 4): half, (3, 4): half}
+    assert all(abs(got[k] - v) < 1e-12 for k, v in expected.items()) and len(got) == 20
+
+
+def test_language_sample_ignores_other_texts(spark):
+    """The sample of a language is its least rows, repeats included, whatever the number of partitions."""
+    from hirelens.llm import langid
+
+    rows = [("aa", i * 37 % 101, f"text {i}") for i in range(90)] + [("bb", 5, "same")] * 40
+    table = spark.createDataFrame(rows, "lang string, order long, text string").withColumn("mark", F.xxhash64("text"))
+    for parts in (1, 7):
+        got = sorted((r.lang, r.order) for r in langid.least_rows(table.repartition(parts), 20).collect())
+        assert got == sorted([("aa", o) for o in sorted(r[1] for r in rows[:90])[:20]] + [("bb", 5)] * 20)
+
+
+# ---- licences ----
+
+
+def test_whole_licences_in_several_layouts(spark):
+    from hirelens.llm import licences as L
+
+    wrap = lambda t, n: re.sub(f"(.{{{n}}}[^ ]*) ", r"\1\n", t)
+    mit, bsd = dict((t[:4], t) for _, t in L.KNOWN)["MIT "], next(t for n, t in L.KNOWN if n == "BSD-3-Clause")
+    cases = {
+        "MIT License Copyright (c) 2020 Ada Byron " + L._MIT_GRANT: "MIT",
+        "MIT License\n\nCopyright (c) 2020-2024 Ada Byron, Inc. <a@b.org>\n\n" + wrap(L._MIT_GRANT, 70): "MIT",
+        "mit license\r\n© 2020 X. All rights reserved.\r\n" + L._MIT_GRANT.upper().replace("SUBLICENSE", "SUB-LICENSE"): "MIT",
+        "Copyright 2019 The Authors. All Rights Reserved.\n" + wrap(bsd, 40): "BSD-3-Clause",
+        "BSD 2-Clause License\nCopyright (c) 2001, X\n" + L._BSD_GRANT + L._BSD_AS_IS: "BSD-2-Clause",
+        wrap(L._UNLICENSE, 60): "Unlicense", L._ZLIB: "Zlib",
+        "ISC Licence\nCopyright (c) 1995 Y\n" + L._ISC_GRANT + L._ISC_AS_IS: "ISC",
+        mit + " One more clause.": None, "MIT License": None, "": None,
+        "x All rights reserved y important text": None,
+    }
+    table = spark.createDataFrame([(t,) for t in cases], "text string")
+    rows = {r.text: r for r in L.find_licences(table).collect()}
+    assert {t: rows[t].licence for t in cases} == cases
+    digests = {r.digest for t, r in rows.items() if cases[t] is None}
+    assert len(digests) == sum(v is None for v in cases.values())
+
+
+def test_licences_of_a_folder(spark, tmp_path):
+    from pathlib import Path
+
+    from hirelens.llm import licences as L
+
+    folder = Path("/usr/share/common-licenses")
+    if not (folder / "GPL-3").exists():
+        pytest.skip("no folder of licence texts here")
+    for name in ("GPL-3", "Apache-2.0", "MPL-2.0", "LGPL-2.1", "CC0-1.0"):
+        (tmp_path / f"{name}.txt").write_text((folder / name).read_text(encoding="utf-8"), encoding="utf-8")
+    more = L.folder_digests(spark, str(tmp_path))
+    texts = {name: " ".join((folder / name).read_text(encoding="utf-8").split()) for name in ("MPL-2.0", "CC0-1.0")}
+    table = spark.createDataFrame([(n, t.upper()) for n, t in texts.items()], "name string, text string")
+    assert {r.name: r.licence for r in L.find_licences(table, more=more).collect()} == {n: n for n in texts}
