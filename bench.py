@@ -26,7 +26,10 @@ HEADLINE = [
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"))
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    # the tables are one file, and so one task, each: spread their rows over the cores unless told otherwise
+    spread = os.environ.get("BENCH_SPREAD", cpus if cpus.isdigit() else "0")
+    spark = local_session(cpus, **{"spark.hirelens.spread": spread})
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
 

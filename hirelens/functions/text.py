@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -75,9 +76,23 @@ def contains_any(c: Column, words: list[str]) -> Column:
     return let(c, lambda t: F.exists(words_of(words), lambda w: F.contains(t, w)))
 
 
+HAN = "[\u4e00-\u9fff]"
+
+
+def _searched(text: Column, words: list[str]) -> Column:
+    """The words worth a search: those with Chinese characters are not looked for in a text without any.
+
+    One pass for the characters replaces one for each such word.
+    """
+    plain = [w for w in words if not re.search(HAN, w)]
+    if len(words) - len(plain) < 6:
+        return words_of(words)
+    return F.when(text.rlike(HAN), words_of(words)).otherwise(words_of(plain) if plain else F.array().cast("array<string>"))
+
+
 def present(c: Column, words: list[str]) -> Column:
     """The words the text contains, in list order."""
-    return let(c, lambda t: F.filter(words_of(words), lambda w: F.contains(t, w)))
+    return let(c, lambda t: F.filter(_searched(t, words), lambda w: F.contains(t, w)))
 
 
 def first_listed(c: Column, words: list[str]) -> Column:
@@ -90,16 +105,15 @@ def first_listed(c: Column, words: list[str]) -> Column:
 
 
 def first_group(c: Column, groups: dict[str, list[str]]) -> Column:
-    """The first group, in order, with a word in the text, ignoring case."""
+    """The first group, in order, with a word in the text, ignoring case.
 
-    def pick(upper: Column) -> Column:
-        picked = None
-        for name, words in groups.items():
-            hit = F.exists(words_of([w.upper() for w in words]), lambda w: F.contains(upper, w))
-            picked = F.when(hit, F.lit(name)) if picked is None else picked.when(hit, F.lit(name))
-        return picked
-
-    return let(F.upper(c), pick)
+    All words are looked for at once, in the order of their groups; the first one found tells the group.
+    """
+    named = [(name, word.upper()) for name, words in groups.items() for word in words]
+    words = [word for _, word in named]
+    first = first_listed(F.upper(c), words)
+    place = F.array_position(words_of(words), first).cast("int")
+    return F.get(words_of([name for name, _ in named]), place - 1)
 
 
 def split_tags(c: Column | str) -> Column:
