@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import vocab as V
-from hirelens.functions.text import capture_number, col, first_group, first_listed, text_of
+from hirelens.functions.text import capture, capture_number, col, first_group, first_listed, text_of
 
 
 def favourites(c: Column | str) -> Column:
@@ -50,7 +50,16 @@ def company_in_text(c: Column | str) -> Column:
     return first_listed(col(c), V.KNOWN_COMPANIES)
 
 
-def signals(c: Column | str) -> Column:
+def pay_in_text(c: Column | str) -> Column:
+    """A pay range stated in a description, as in the pay field; null when there is none."""
+    return capture(text_of(c), V.RE_PAY_IN_TEXT, 0)
+
+
+# fixed values: names of boards; a site's own index board is added by the caller
+BOARDS = ["HC充足榜", "学历友好榜", "校招高薪榜", "高校必争榜"]
+
+
+def signals(c: Column | str, boards: list[str] = BOARDS) -> Column:
     """Other marks mixed into descriptions, as an array of ``kind:value``."""
     text = text_of(c)
 
@@ -66,7 +75,7 @@ def signals(c: Column | str) -> Column:
         F.array(
             found("pay_percentile", r"薪资超([0-9]+)%同类职位", 1),
             found("deadline_days", r"还有([0-9]+)天截止", 1),
-            *named("board", ["HC充足榜", "学历友好榜", "校招高薪榜", "高校必争榜"]),
+            *named("board", boards),
             *named("apply", ["简历直投官网", "专属内推通道"]),
         )
     )

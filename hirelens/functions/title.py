@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import vocab as V
-from hirelens.functions.text import capture, col, is_listed, strip, text_of
+from hirelens.functions.text import capture, col, first_group, is_listed, strip, text_of
 
 
 def clean_title(c: Column | str) -> Column:
@@ -77,13 +77,28 @@ def pay_in_title(c: Column | str) -> Column:
     return F.when(found != "", F.concat(found, F.lit("-"), upper, F.lit("K")))
 
 
+def city_after_dash(c: Column | str) -> Column:
+    """A listed city after the last dash of a title, null when there is none."""
+    return capture(strip(c), f"-({'|'.join(V.DESC_CITIES)})$")
+
+
+def job_category(c: Column | str) -> Column:
+    """Normalised category of a title: its job family, else unknown."""
+    return F.coalesce(first_group(standard_title(c), V.JOB_FAMILIES), F.lit(V.UNKNOWN))
+
+
+def is_well_formed_id(job_id: Column | str) -> Column:
+    """An id is a whole number."""
+    return strip(job_id).rlike("^[0-9]+$")
+
+
 def is_meaningful(title: Column | str, job_id: Column | str) -> Column:
     """Row has a usable title and an id."""
     return is_valid_title(clean_title(title)) & (strip(job_id) != "")
 
 
 __all__ = [
-    "batch_in_title", "city_in_title", "clean_title", "effective_city",
-    "is_internship", "is_meaningful", "is_valid_title", "job_code", "pay_in_title",
-    "standard_title",
+    "batch_in_title", "city_after_dash", "city_in_title", "clean_title", "effective_city",
+    "is_internship", "is_meaningful", "is_valid_title", "is_well_formed_id", "job_category",
+    "job_code", "pay_in_title", "standard_title",
 ]

@@ -263,8 +263,11 @@ def pivot_matrix(df: DataFrame, row: str, column: str, values: list[str]) -> Dat
 def overview(jobs: DataFrame, k: int = 10) -> DataFrame:
     """One screen: totals, top skills and top cities as (section, name, value) rows.
 
-    Totals and cities come out of one reading of the postings.
+    The postings are read once; both aggregates read the narrow columns that are kept of them.
     """
+    jobs = stored(jobs.select(
+        "effective_city", "education", "company_type", "recruit_type", "skills", MID, "min_salary", "max_salary",
+        "collection_count", "is_internship", "is_active", "is_high_collection", "negotiable"), "jobs")
     wide = stored(all_rollups(jobs), "overview")
     totals = from_all(wide, "dashboard_summary").select(
         F.lit("total").alias("section"), F.col("metric_name").alias("name"),

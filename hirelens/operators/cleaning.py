@@ -102,6 +102,23 @@ def meaningful(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col("is_valid_job") & (strip("job_id") != ""))
 
 
+def well_formed(cleaned: DataFrame) -> DataFrame:
+    """Meaningful rows whose id is a whole number."""
+    return meaningful(cleaned).where(T.is_well_formed_id("job_id"))
+
+
+def fill_from_text(df: DataFrame) -> DataFrame:
+    """Blank cities from a trailing dash of the title, blank pay from the description, and the job category."""
+    city, pay = strip("city"), strip("salary")
+    return df.withColumns(
+        {
+            "city": F.when(city != "", city).otherwise(F.coalesce(T.city_after_dash("job_name"), F.lit(""))),
+            "salary": F.when(pay != "", pay).otherwise(F.coalesce(D.pay_in_text("job_desc"), F.lit(""))),
+            "job_category": T.job_category("job_name"),
+        }
+    )
+
+
 def normalise_titles(df: DataFrame) -> DataFrame:
     """Standard title, job code, repaired company text and pay moved out of the title."""
     return df.withColumns(

@@ -274,6 +274,26 @@ def repaired_values(spark, sf_dir):
     return cleaning.normalise_titles(rough).select("ord", "company_name", "salary")
 
 
+@query
+def filled_from_text(spark, sf_dir):
+    """Cities after a dash of the title, pay stated in the description, and job categories."""
+    rough = views.postings(spark, sf_dir).select(
+        "ord", "city",
+        F.expr("job_name || CASE ord % 4 WHEN 0 THEN '-武汉' WHEN 1 THEN '-某地' ELSE '' END").alias("job_name"),
+        F.expr("CASE WHEN ord % 3 = 0 THEN '' ELSE salary END").alias("salary"),
+        F.expr("job_desc || CASE WHEN ord % 2 = 0 THEN chr(10) || '薪资 20-40K·17薪' ELSE '' END").alias("job_desc"),
+    )
+    return cleaning.fill_from_text(rough).select("ord", "city", "salary", "job_category")
+
+
+@query
+def well_formed_jobs(spark, sf_dir):
+    """Meaningful rows without malformed ids."""
+    odd = F.expr("CASE WHEN ord % 11 = 0 THEN 'J-' || job_id ELSE job_id END")
+    cleaned = cleaning.clean_postings(views.postings(spark, sf_dir).withColumn("job_id", odd), ["ord"])
+    return cleaning.well_formed(cleaned).select("ord", "job_id")
+
+
 # --- analytics -----------------------------------------------------------------
 
 

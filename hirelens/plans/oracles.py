@@ -757,3 +757,25 @@ ORACLES["rolled_landing"] = (
     "SELECT '20260102' AS dt, event_type AS value, count(*) AS message_count FROM events GROUP BY 2"
 )
 ORACLES["stream_totals"] = "SELECT count(*) AS rows FROM events"
+_ROUGH = (
+    "rough AS (SELECT ord, city AS c, job_name || CASE ord % 4 WHEN 0 THEN '-武汉' WHEN 1 THEN '-某地' ELSE '' END AS n, "
+    "CASE WHEN ord % 3 = 0 THEN '' ELSE salary END AS s, job_desc || CASE WHEN ord % 2 = 0 THEN chr(10) || "
+    "'薪资 20-40K·17薪' ELSE '' END AS d FROM postings), named AS (SELECT *, CASE WHEN trim(n) = '' OR "
+    "contains(n, '为你推荐') THEN '未知' ELSE trim(n) END AS clean_title FROM rough), "
+    f"titled AS (SELECT *, {STANDARD_TITLE} AS t FROM named)"
+)
+_CATEGORY = "CASE " + " ".join(
+    f"WHEN {any_('upper(t)', [w.upper() for w in words])} THEN '{name}'" for name, words in V.JOB_FAMILIES.items()
+) + " ELSE '未知' END"
+ORACLES["filled_from_text"] = _with(
+    f"{POSTINGS}, {_ROUGH}",
+    "SELECT ord, CASE WHEN trim(c) <> '' THEN trim(c) ELSE regexp_extract(n, "
+    f"'-({'|'.join(V.DESC_CITIES)})$', 1) END AS city, CASE WHEN trim(s) <> '' THEN trim(s) ELSE "
+    "regexp_extract(d, '[0-9]+-[0-9]+K·[0-9]+薪', 0) END AS salary, " + _CATEGORY + " AS job_category FROM titled",
+)
+ORACLES["well_formed_jobs"] = _with(
+    f"{POSTINGS}, odd AS (SELECT ord, job_name, CASE WHEN ord % 11 = 0 THEN 'J-' || job_id ELSE job_id END AS job_id "
+    "FROM postings), first AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ord) AS rn FROM odd)",
+    "SELECT ord, job_id FROM first WHERE rn = 1 AND regexp_full_match(job_id, '[0-9]+') AND trim(job_name) <> '' "
+    "AND NOT contains(job_name, '为你推荐')",
+)

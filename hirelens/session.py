@@ -31,8 +31,8 @@ def local_session(cores: int | str = "*", **more: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (``spark.checkpoint.dir``).
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's stored steps, under ``spark.checkpoint.dir``.
 
     Only a local session without that setting falls back to a temporary folder.
     """
@@ -40,8 +40,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="hirelens-")
-    return f"{base.rstrip('/')}/hirelens/{name}-{uuid.uuid4().hex}"
+        base = _local_scratch.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="hirelens-")
+        _local_scratch[spark.sparkContext.applicationId] = base
+    return f"{base.rstrip('/')}/hirelens/{spark.sparkContext.applicationId}"
+
+
+_local_scratch: dict[str, str] = {}
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share; it stays until :func:`remove_scratch`."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove every step this application has stored, when no result that reads one is needed any more.
+
+    Results are lazy and may read stored steps, so nothing is removed before the caller says so.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -167,6 +167,7 @@ RE_PAY_WITH_MONTHS = r"([0-9]+)-([0-9]+)K[·.](?:([0-9]+)薪)?"
 RE_PAY = r"([0-9]+)-([0-9]+)K"
 RE_PAY_ANY_CASE = r"([0-9]+)-([0-9]+)[Kk]"
 RE_MONTHS = r"([0-9]+)薪"
+RE_PAY_IN_TEXT = r"[0-9]+-[0-9]+K·[0-9]+薪"
 RE_TITLE_BRACKET = r"[（(]([^\n]+?)[）)]"
 RE_TITLE_CITY = r"[（(]([一-龥]{2,4})[）)]"
 RE_TITLE_BATCH = r"(20[0-9][0-9]|[23][0-9])届"

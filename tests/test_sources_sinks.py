@@ -349,3 +349,16 @@ def test_atomic_upsert_is_all_or_nothing(spark, tmp_path):
     assert serving.merge_sql("t", "s", ["k"], ["n"]) == (
         "INSERT INTO t (k, n) SELECT k, n FROM s WHERE run_id = ? "
         "ON DUPLICATE KEY UPDATE n = VALUES(n), update_time = CURRENT_TIMESTAMP")
+
+
+def test_stored_steps_are_removed_on_request(spark):
+    from pathlib import Path
+
+    from hirelens import session
+
+    rows = session.stored(spark.range(5), "step")
+    folder = Path(session._scratch_root(spark))
+    assert rows.count() == 5 and list(folder.glob("step-*"))
+    session.remove_scratch(spark)
+    assert not folder.exists()
+    assert session.stored(spark.range(3), "step").count() == 3
