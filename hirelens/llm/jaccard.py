@@ -7,13 +7,14 @@ differ in so few elements that, with one block more than that, one block at leas
 holds the sets that share a block; all other lists are skipped. Lists of single elements would grow with the square of
 the documents that share a passage, and such documents may not be dropped; lists of blocks do not.
 
-Answers: the sets that share a block with a leader (the least set of that block) are its family. Every member is compared
-with the leader only; what is linked to it is connected. A family whose members are not all connected then elects
+Answers: the sets that share a block with a leader (the least set of that block) are its family. Every member is
+compared with the leader only; what is linked to it is connected. A family whose members are not all connected then elects
 another leader, the member nearest to the first one: copies differ from each other by the edits of both and from their
 original by their own alone, so the original or a set close to it is elected. Later leaders come from the members
 outside the family's greatest component. A leader is compared with the members of other components; so a round has
-no more rows than the families have members. What is open when rounds no longer pay is compared inside the tasks, sets outside the
-greatest component with all others, in parts of bounded size; a task returns links that join components, never pairs.
+no more rows than the families have members. What is open when rounds no longer pay is compared inside the tasks, sets
+outside the greatest component with all others, in parts of bounded size; a task returns links that join components,
+never pairs.
 """
 
 from __future__ import annotations
@@ -426,8 +427,8 @@ def similar_components(
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of ``docs``.
 
-    Columns named by ``carry`` are kept too; ``label`` names a column for the component itself (null for empty sets), which tells
-    components apart whatever their ids are.
+    Columns named by ``carry`` are kept too; ``label`` names a column for the component itself (null for empty sets),
+    which tells components apart whatever their ids are.
 
     Words are runs without ASCII blanks, A-Z lower-cased. A text of fewer than ``words`` words is one shingle; a null
     or blank text is empty, linked with nothing, its own component. Equal texts are one class whatever their number.

@@ -261,8 +261,8 @@ def hard_negatives(
 
     Rows with a null vec_id, label or vector, or a component that is null or not finite (256 times it included) take no
     part. Rows equal in id, label and integer vector count once; rows with one vec_id but other contents are rows of
-    their own. Shorter vectors count as ended by zeros, vectors without components score 0, scores beyond a long count as the nearest
-    long. Only the three columns are read; an empty table gives no rows. Runs jobs when called.
+    their own. Shorter vectors count as ended by zeros, vectors without components score 0, scores beyond a long count
+    as the nearest long. Only the three columns are read; an empty table gives no rows. Runs jobs when called.
 
     Tiles hold about ``per_tile`` rows, parts about ``per_part`` anchors: the memory of a task. The square root of all
     tiles is searched first, which gives every range a score to beat in the other tiles.

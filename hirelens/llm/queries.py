@@ -119,6 +119,8 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_pieces": op3_pieces, "op4_surrogates": op4_surrogates, "op6_licences": op6_licences, "op2_secrets": op2_secrets, "op9_merkle": op9_merkle, "op5_forest": op5_forest, "op7_langid": op7_langid, "op10_jaccard": op10_jaccard, "op1_sharding": op1_sharding, "op8_packing": op8_packing,
-           "op11_repair": op11_repair, "op12_negatives": op12_negatives, "op13_simhash": op13_simhash}
+QUERIES = {fn.__name__: fn for fn in (
+    op1_sharding, op2_secrets, op3_pieces, op4_surrogates, op5_forest, op6_licences, op7_langid, op8_packing,
+    op9_merkle, op10_jaccard, op11_repair, op12_negatives, op13_simhash,
+)}
 ORACLES: dict[str, str] = {"op6_licences": licences.oracle(), "op12_negatives": negatives.brute_force_sql()}

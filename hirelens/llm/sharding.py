@@ -39,9 +39,8 @@ def shuffle_shards(
 
     ``size`` is a record's size in bytes, at least 1. ``df`` should be a stored table: it is read twice, and a lost
     task reads its part again. Runs two aggregates when called. Equal records are spread over buckets too: a record
-    whose copies are more than a quarter of a bucket's bytes gets a place per copy, so a bucket stays near ``bucket_bytes`` unless a
-    single record is larger. Columns named ``shard`` and ``slot`` are
-    replaced. An empty table gives an empty result; nulls hash as such.
+    whose copies are more than a quarter of a bucket's bytes gets a place per copy, so a bucket stays
+    near ``bucket_bytes`` unless a single record is larger. Columns named ``shard`` and ``slot`` are replaced. An empty table gives an empty result; nulls hash as such.
     """
     kept = [c for c in df.columns if c not in ("shard", "slot")]
     base = df.select(*kept, size.cast("long").alias("__size"))
