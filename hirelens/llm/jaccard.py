@@ -418,7 +418,9 @@ def joining_links(rows: DataFrame, sets: DataFrame, law: Law, part_bytes: int =
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return inner.union(asked).groupBy("list", "p", "q").applyInArrow(compare, "a bigint, b bigint")
+    # rows lie by list after the joins above; the parts of a large list have to be spread
+    both = inner.union(asked).repartition("list", "p", "q")
+    return both.groupBy("list", "p", "q").applyInArrow(compare, "a bigint, b bigint")
 
 
 def similar_components(
