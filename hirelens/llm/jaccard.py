@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import slices, store, text_bytes
@@ -361,65 +361,102 @@ def set_bytes(texts: DataFrame, words: int, seed: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(describe, "key bigint, n bigint, hashes binary")
 
 
-def joining_links(rows: DataFrame, sets: DataFrame, law: Law, part_bytes: int = 32 << 20) -> DataFrame:
-    """Links (a, b) that join the components of each family of ``open_members`` as far as its sets are linked.
-
-    Members outside a family's greatest component meet all members, in parts of about ``part_bytes`` a side. Inside a
-    part sizes and fine sketches rule most pairs out, the others are compared as sets; only the first link between two
-    components is returned.
-    """
-    rows = rows.join(sets, "key")
-    size = 8 * F.col("n") + 64
+def spread(rows: DataFrame, size: Column, part_bytes: int) -> DataFrame:
+    """Open members dealt to parts p, q of their family, both of about ``part_bytes``: those outside the greatest
+    component (``asked``) to a p and every q, all of them to a q and every p."""
     parts = rows.groupBy("list").agg(
         F.ceil(F.sum(size) / part_bytes).cast("int").alias("parts"),
         F.ceil(F.sum(F.when(~F.col("main"), size)) / part_bytes).cast("int").alias("outer"))
     rows = rows.join(parts, "list").withColumn("hash", F.xxhash64(F.lit(5), "key"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     part = lambda n: F.pmod("hash", F.col(n)).cast("int")
-    columns = ["list", "p", "q", "asked", "key", "label", "hashes"]
+    columns = ["list", "p", "q", "asked", "key", "label", "n"]
+    rows = rows.where("outer > 0")
     inner = rows.withColumns({"asked": F.lit(False), "q": part("parts")}).withColumn("p", every("outer")).select(*columns)
     asked = rows.where("not main").withColumns({"asked": F.lit(True), "p": part("outer")})
-    asked = asked.withColumn("q", every("parts")).select(*columns)
+    return inner.union(asked.withColumn("q", every("parts")).select(*columns))
+
+
+class Family:
+    """A part of a family inside a task, told by sizes and sketches of its members."""
+
+    def __init__(self, group: pa.Table, n: np.ndarray, sketches: list[bytes], law: Law):
+        self.key, label = group.column("key").to_numpy(), group.column("label").to_numpy()
+        asked = np.array(group.column("asked").to_pylist(), bool)
+        self.asked, inner = np.flatnonzero(asked), np.flatnonzero(~asked)
+        self.component = np.unique(label, return_inverse=True)[1]
+        self.n, self.raw, self.law = n, sketches, law
+        wide = np.array([len(x) for x in sketches])
+        self.at = {w: inner[wide[inner] == w] for w in np.unique(wide[inner])}
+        self.folded = {(w, w): np.frombuffer(b"".join([sketches[i] for i in at]), np.uint8).reshape(len(at), w)
+                       for w, at in self.at.items()}
+
+    def near(self, i: int) -> Iterator[int]:
+        """Members of other components that sizes and sketches let be linked with i, nearest first."""
+        own, n = np.frombuffer(self.raw[i], np.uint8).reshape(1, -1), self.n
+        for w, at in self.at.items():
+            found = at[(self.component[at] != self.component[i]) & (
+                100 * np.minimum(n[at], n[i]) >= self.law.percent * np.maximum(n[at], n[i]))]
+            if not len(found):
+                continue
+            to = min(w, own.shape[1])
+            if (w, to) not in self.folded:
+                self.folded[w, to] = _folded(self.folded[w, w], to)
+            rows = self.folded[w, to][np.searchsorted(at, found)]
+            differ = np.bitwise_count(rows ^ _folded(own, to)).sum(axis=1, dtype=np.int64)
+            may = differ <= self.law.differ(n[found] + n[i])
+            yield from found[may][np.argsort(differ[may], kind="stable")].tolist()
+
+
+def joining_links(
+    rows: DataFrame, classes: DataFrame, docs: DataFrame, words: int, seed: int, law: Law, part_bytes: int = 32 << 20,
+) -> DataFrame:
+    """Links (a, b) that join the components of each family of ``open_members`` as far as its sets are linked.
+
+    Members outside a family's greatest component meet all members, in parts of bounded size, twice: first as
+    sketches, which leaves the members that have anyone to be linked with; then those as sets. Only the first link
+    found between two components is returned.
+    """
+    rows = rows.join(classes.select("key", "n"), "key").select("list", "key", "label", "main", "n")
+
+    def sketched(group: pa.Table) -> pa.Table:
+        family = Family(group, group.column("n").to_numpy(), group.column("sketch").to_pylist(), law)
+        found = np.zeros(group.num_rows, bool)
+        for i in family.asked:
+            others = list(family.near(i))
+            found[others] = True
+            found[i] |= bool(others)
+        keys = np.unique(family.key[found])
+        return pa.table({"list": pa.array(np.full(len(keys), group.column("list")[0].as_py()), pa.int64()),
+                         "key": pa.array(keys, pa.int64())})
+
+    told = spread(rows, F.greatest(F.col("n") / 4, F.lit(32)) + 64, part_bytes)
+    told = told.join(classes.select("key", "sketch"), "key").repartition("list", "p", "q")
+    near = told.groupBy("list", "p", "q").applyInArrow(sketched, "list bigint, key bigint")
+    near = store(near.distinct(), "near")
+    sets = set_bytes(texts_of(near.select("key").distinct(), classes, docs), words, seed)
+    sets = store(sets.select("key", "hashes"), "sets")
 
     def compare(group: pa.Table) -> pa.Table:
-        is_asked = np.array(group.column("asked").to_pylist(), bool)
-        key, label = group.column("key").to_numpy(), group.column("label").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
         n = np.array([len(x) for x in sets])
-        component = np.unique(label, return_inverse=True)[1]
-        row = np.repeat(np.arange(len(sets)), n)
-        raw = odd_sketches(row, np.concatenate(sets), n, fine=4)
-        wide = np.array([len(x) for x in raw])
-        inner = np.flatnonzero(~is_asked)
-        at = {w: inner[wide[inner] == w] for w in np.unique(wide[inner])}
-        sketches = {(w, w): np.frombuffer(b"".join([raw[i] for i in at[w]]), np.uint8).reshape(len(at[w]), w) for w in at}
-        links = []
-        for i in np.flatnonzero(is_asked):
-            own = np.frombuffer(raw[i], np.uint8).reshape(1, -1)
-            for w in at:
-                may = (component[at[w]] != component[i]) & (
-                    100 * np.minimum(n[at[w]], n[i]) >= law.percent * np.maximum(n[at[w]], n[i]))
-                found = np.flatnonzero(may)
-                if not len(found):
+        sketches = odd_sketches(np.repeat(np.arange(len(sets)), n), np.concatenate(sets), n, fine=4)
+        family, links = Family(group, n, sketches, law), []
+        component = family.component
+        for i in family.asked:
+            for j in family.near(i):
+                if component[j] == component[i]:
                     continue
-                to = min(w, wide[i])
-                if (w, to) not in sketches:
-                    sketches[w, to] = _folded(sketches[w, w], to)
-                differ = np.bitwise_count(sketches[w, to][found] ^ _folded(own, to)).sum(axis=1, dtype=np.int64)
-                for f in np.argsort(differ, kind="stable"):
-                    j = at[w][found[f]]
-                    if component[j] == component[i] or differ[f] > law.differ(n[j] + n[i]):
-                        continue
-                    place = np.searchsorted(sets[j], sets[i])
-                    common = int((sets[j][np.minimum(place, n[j] - 1)] == sets[i]).sum())
-                    if law.linked(common, n[i], n[j]):
-                        links.append((key[i], key[j]))
-                        component[component == component[j]] = component[i]
+                place = np.searchsorted(sets[j], sets[i])
+                common = int((sets[j][np.minimum(place, n[j] - 1)] == sets[i]).sum())
+                if law.linked(common, n[i], n[j]):
+                    links.append((family.key[i], family.key[j]))
+                    component[component == component[j]] = component[i]
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    # rows lie by list after the joins above; the parts of a large list have to be spread
-    both = inner.union(asked).repartition("list", "p", "q")
+    both = spread(rows.join(near, ["list", "key"], "left_semi"), 8 * F.col("n") + 64, part_bytes)
+    both = both.join(sets, "key").repartition("list", "p", "q")
     return both.groupBy("list", "p", "q").applyInArrow(compare, "a bigint, b bigint")
 
 
@@ -476,8 +513,7 @@ def similar_components(
         if still > 0.75 * before:
             break
     if still:
-        sets = store(set_bytes(texts_of(rows.select("key").distinct(), classes, docs), words, seed), "sets")
-        labels = joined(labels, store(joining_links(rows, sets, law), "links"))
+        labels = joined(labels, store(joining_links(rows, classes, docs, words, seed, law), "links"))
 
     named = labels.withColumnRenamed("node", "key").join(classes.select("key", "doc_id"), "key")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
