@@ -1,16 +1,19 @@
 """Refresh by landed day, sketches, and the cleaning run as one job."""
 
+import gzip
+
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
 from hirelens.operators import analytics as A
 from hirelens.operators import cleaning
-from hirelens.plans import daily, views
+from hirelens.plans import cleaning_run, daily, views
 from hirelens.plans.catalogue import DAYS, _land_by_day
 from hirelens.plans.cleaning_run import run_cleaning
 from hirelens.plans.refresh import refresh, serving_rollups
 from hirelens.schema import SERVING
+from hirelens.sources import lines
 
 
 def rows(df):
@@ -40,6 +43,19 @@ def test_a_day_reads_its_directory_alone(spark, landed):
     assert f"= {DAYS[2]})]" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
+def test_a_line_is_parsed_once(spark, landed):
+    plan = daily.landed_postings(spark, landed, DAYS[2]).select("job_name")
+    told = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert told.count("from_json(") == 1 and told.count("trim(") == 1
+
+
+def test_a_comma_at_the_end_is_dropped(spark):
+    ends = [" a,\t", "a,b", "a,,", ",", "a,\u2028", None, "[", ""]
+    lines_ = spark.createDataFrame([(e,) for e in ends], "value string")
+    got = [r.value for r in lines.record_lines(lines_).collect()]
+    assert got == ["a", "a,b", "a,", "", "a\u2028"]
+
+
 def test_served_order_after_a_second_refresh(spark, tmp_path):
     postings = views.postings(spark, SF)
     refresh(postings.where("ord % 2 = 0"), str(tmp_path), now=F.lit("t0"))
@@ -80,6 +96,18 @@ def test_cleaning_run_writes_and_reports(spark, tmp_path):
     assert rows(again) == rows(cleaning.cleaning_report(raw.where("ord < 100"), ["ord"]))
 
 
+def test_cleaning_run_writes_few_bytes(spark, tmp_path, monkeypatch):
+    """The repeated keys of the rows are packed, in files of a bounded number of rows."""
+    monkeypatch.setattr(cleaning_run, "FILE_ROWS", 100)
+    raw = views.postings(spark, SF)
+    run_cleaning(raw, ["ord"], str(tmp_path / "a"))
+    files = list((tmp_path / "a" / "rows" / "output=cleaned").glob("*.json.gz"))
+    texts = [gzip.decompress(f.read_bytes()) for f in files]
+    assert sum(t.count(b"\n") for t in texts) == cleaning.clean_postings(raw, ["ord"]).count()
+    assert max(t.count(b"\n") for t in texts) <= 100
+    assert sum(f.stat().st_size for f in files) < sum(map(len, texts)) / 3
+
+
 def test_cleaning_run_of_nothing(spark, tmp_path):
     report = run_cleaning(views.postings(spark, SF).where("false"), ["ord"], str(tmp_path / "a"))
     assert rows(report) == [("high_value_count", 0), ("input_count", 0), ("output_count", 0)]
