@@ -17,7 +17,7 @@ from hirelens.plans import daily, views
 from hirelens.plans.cleaning_run import run_cleaning
 from hirelens.plans.refresh import refresh, served_rows
 from hirelens.schema import COLUMNS, SERVING, SOURCE_KEYS
-from hirelens.session import scratch_dir, spread
+from hirelens.session import open_directories, scratch_dir, spread
 from hirelens.sinks import files as file_sink
 from hirelens.sinks import serving
 from hirelens.sinks import topic as topic_sink
@@ -484,7 +484,8 @@ def _land_by_day(postings: DataFrame, root: str) -> None:
     """Postings as JSON lines under a directory per day, a third of them each."""
     day = F.element_at(F.array(*map(F.lit, DAYS)), (F.col("ord") % 3 + 1).cast("int"))
     line = F.to_json(F.struct(*[F.col(c).alias(k) for k, c in SOURCE_KEYS.items()]))
-    postings.select(line.alias("value"), day.alias("dt")).write.partitionBy("dt").text(root)
+    with open_directories(postings.sparkSession, len(DAYS) + 1):
+        postings.select(line.alias("value"), day.alias("dt")).write.partitionBy("dt").text(root)
 
 
 @query

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.functions.text import trim_controls
+from hirelens.functions.text import once, trim_controls
 from hirelens.schema import SOURCE_KEYS, SOURCE_POSTING, from_source_keys
 
 
@@ -15,10 +15,11 @@ def record_lines(lines: DataFrame, value: str = "value", keep_all: bool = False)
 
     With ``keep_all`` nothing is dropped; ``is_record`` tells the lines apart.
     """
-    trimmed = lines.withColumn(value, trim_controls(value))
+    trimmed = lines.withColumn(value, once(trim_controls(value)))
     is_record = F.coalesce(~F.col(value).isin("", "[", "]"), F.lit(False))
     trimmed = trimmed.withColumn("is_record", is_record) if keep_all else trimmed.where(is_record)
-    return trimmed.withColumn(value, F.regexp_replace(value, ",$", ""))
+    ends = F.right(F.col(value), F.lit(2)).contains(",")  # the pattern reads the whole line, so few lines get to it
+    return trimmed.withColumn(value, F.when(ends, F.regexp_replace(value, ",$", "")).otherwise(F.col(value)))
 
 
 def text_field(line: Column, key: str) -> Column:
@@ -60,4 +61,4 @@ def parse_lines(
     schema = T.StructType([*SOURCE_POSTING.fields, T.StructField("corrupt_line", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt_line"}
     row = F.from_json(value, schema, options)
-    return from_source_keys(records.select(*others, row.alias("_row")).select(*others, "_row.*"))
+    return from_source_keys(records.select(*others, once(row).alias("_row")).select(*others, "_row.*"))
