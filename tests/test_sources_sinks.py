@@ -362,3 +362,20 @@ def test_stored_steps_are_removed_on_request(spark):
     session.remove_scratch(spark)
     assert not folder.exists()
     assert session.stored(spark.range(3), "step").count() == 3
+
+
+def test_plain_array_passes_no_exchange(spark, tmp_path):
+    """Records without nested braces are cut where they are read; a file with others keeps all of its own."""
+    from hirelens.sources import arrays
+
+    (tmp_path / "a.json").write_text('[{"a": "x\\"y"}, {"a": "\\\\"},\n{"a": "2"}\n]\n', encoding="utf-8")
+    records, broken = arrays.array_records(spark, str(tmp_path))
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
+    (tmp_path / "b.json").write_text('[{"a": {"b": "}{"}}, {"a": "\\\\{"}, {"c": "{"}]', encoding="utf-8")
+    (tmp_path / "c.json").write_text("[ ]", encoding="utf-8")
+    records, broken = arrays.array_records(spark, str(tmp_path))
+    assert sorted((r._file[-6:], r._pos, r.value) for r in records.collect()) == [
+        ("a.json", 0, '{"a": "x\\"y"}'), ("a.json", 1, '{"a": "\\\\"}'), ("a.json", 2, '{"a": "2"}'),
+        ("b.json", 0, '{"a": {"b": "}{"}}'), ("b.json", 1, '{"a": "\\\\{"}'), ("b.json", 2, '{"c": "{"}')]
+    assert broken.count() == 0
