@@ -406,3 +406,22 @@ def test_licences_of_a_folder(spark, tmp_path):
     texts = {name: " ".join((folder / name).read_text(encoding="utf-8").split()) for name in ("MPL-2.0", "CC0-1.0")}
     table = spark.createDataFrame([(n, t.upper()) for n, t in texts.items()], "name string, text string")
     assert {r.name: r.licence for r in L.find_licences(table, more=more).collect()} == {n: n for n in texts}
+
+
+def test_lines_of_licences_need_no_pass_of_their_own(spark):
+    """Lines cut out of the normalised text are those normalised one by one; the text joins them."""
+    from hirelens.llm import licences
+
+    texts = [
+        "Copyright (c) 2020 A\nMIT LICENCE & B", "© 2019 Foo permission x", "copyright 2020\n\ncopyright (c) 2021-2022 bar",
+        "", "\n\n a \n", "hthttps://tp://x https://y", "ΑΣ\nΣΑΣ b", "and/or&and/or", "copyright 1999 x\r\ny", "a\u0085b",
+        "all rights reserved.\n", "copyright (c) 2001 " + "z" * 300 + "\nk", "(c) 2004, 2005 - 2006\n2007", "😀\n中文。中"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    parts = F.transform(F.split(licences.canonical_lines(F.col("text")), "\n"), lambda p: F.trim(p))
+    found = rows.select("text", parts.alias("parts"), licences.canonical(F.col("text")).alias("whole")).collect()
+    alone = spark.createDataFrame([(p,) for t in texts for p in t.split("\n")], "line string").distinct()
+    by_line = dict(alone.select("line", licences.canonical(F.col("line"))).collect())
+    for r in found:
+        assert r.parts == [by_line[p] for p in r.text.split("\n")]
+        assert r.whole == " ".join(p for p in r.parts if p)
+    assert found[0].whole == "mit license and b" and found[5].whole == "http x y"
