@@ -1,9 +1,10 @@
 """SentencePiece encoding as a relational lattice, and decoding.
 
-The distinct words of all texts explode into substrings of bounded length, which are equi-joined with the piece table;
-the edges of a word are grouped and a higher-order aggregate folds them into the best path (Viterbi). Word paths then
-go back to the documents: those of frequent words (their number is bounded by the reciprocal of the frequency) travel
-with the code, those of all other words are joined by word.
+The words of all texts are counted. Frequent ones (their number is bounded by the reciprocal of the frequency) explode
+into substrings of bounded length, which are equi-joined with the piece table; the edges of a word are grouped and a
+higher-order aggregate folds them into the best path (Viterbi). These paths travel with the code. All other words get the
+same lattice where they are met, once a task as far as it remembers: there are more of them, counted once a document,
+than texts, so to send them to a table and their paths back would take several times the input.
 
 A table made for merging pairs has ranks instead of probabilities. A piece's score is then the logarithm of the
 probability that its rank has under Zipf's law, and the best path is the one of the largest sum. The table's own tool
@@ -16,6 +17,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -108,6 +110,109 @@ def encoded_words(words: DataFrame, pieces: list[tuple[int, str, float]], bytes_
     return paths.select("word", F.when(F.array_min("ids") < 0, whole).otherwise(F.col("ids")).alias("ids"))
 
 
+class Lattice:
+    """The lattice of :func:`encoded_words` inside a task, for many words at a time.
+
+    The piece table is kept as the sorted prefixes of its pieces; every place of every word is joined with them one
+    character longer at a time, and edges are folded in the order of :func:`encoded_words`, so ties fall alike.
+    """
+
+    def __init__(self, pieces: list[tuple[int, str, float]], bytes_: list[int]):
+        nodes, keys = {"": 0}, []
+        for _, piece, _ in pieces:
+            for end in range(1, len(piece) + 1):
+                if nodes.setdefault(piece[:end], len(nodes)) == len(keys) + 1:
+                    keys.append(nodes[piece[:end - 1]] << 21 | ord(piece[end - 1]))
+        order = np.argsort(keys)
+        self.keys, self.child = np.array(keys, np.int64)[order], order + 1
+        self.id, self.score = np.full(len(nodes), -1), np.zeros(len(nodes))
+        at = [nodes[piece] for _, piece, _ in pieces]
+        self.id[at], self.score[at] = [i for i, _, _ in pieces], [score for _, _, score in pieces]
+        self.bytes = np.array(bytes_)
+
+    def edges(self, codes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
+        """First place, length, score and id (-1: its bytes) of all edges; ``room`` is what is left of a place's word."""
+        at, node, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), []
+        for length in range(1, int(room.max()) + 1):
+            if length > 1:
+                inside = room[at] >= length
+                at, node = at[inside], node[inside]
+            if not len(at):
+                break
+            key = node << 21 | codes[at + length - 1]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[place] == key
+            node = np.where(hit, self.child[place], 0)
+            piece = self.id[node] >= 0
+            if length == 1:
+                found.append((at[~piece], 1, _octets(codes[at[~piece]]) * BYTE_SCORE, np.full((~piece).sum(), -1)))
+            found.append((at[piece], length, self.score[node[piece]], self.id[node[piece]]))
+            at, node = at[hit], node[hit]
+        return (np.concatenate([x[0] for x in found]), np.repeat([x[1] for x in found], [len(x[0]) for x in found]),
+                np.concatenate([x[2] for x in found]), np.concatenate([x[3] for x in found]))
+
+    def paths(self, words: list[str], part: int = 100_000) -> Iterator[bytes]:
+        """The ids of each word as bytes; words are taken in parts of about ``part`` characters."""
+        low = 0
+        ends = np.cumsum([len(w) for w in words])
+        while low < len(words):
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + part, "right")))
+            yield from self._paths(words[low:high])
+            low = high
+
+    def _paths(self, words: list[str]) -> list[bytes]:
+        text = "".join(words)
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        ends = np.cumsum([len(w) for w in words])
+        begins = np.concatenate([[0], ends[:-1]])
+        word = np.repeat(np.arange(len(words)), ends - begins)
+        first, length, score, id_ = self.edges(codes, ends[word] - np.arange(len(codes)))
+        # by the place in its word where an edge ends, the longest first
+        end = first - begins[word[first]] + length
+        order = np.lexsort((-length, end))
+        first, length, score, id_, end = (x[order] for x in (first, length, score, id_, end))
+        tail = first + word[first]  # a word has one place more than characters
+        head = tail + length
+        best, back = np.full(len(codes) + len(words), -np.inf), np.zeros(len(codes) + len(words), np.int64)
+        starts = begins + np.arange(len(words))
+        best[starts] = 0
+        new = np.flatnonzero((end[1:] != end[:-1]) | (length[1:] != length[:-1])) + 1
+        if 16 * len(new) < len(first):
+            for a, b in zip([0, *new], [*new, len(first)]):  # edges that end in different words
+                top = best[tail[a:b]] + score[a:b]
+                better = np.flatnonzero(top > best[head[a:b]])
+                best[head[a + better]], back[head[a + better]] = top[better], a + better
+        else:  # few or long words
+            tops, backs = best.tolist(), back.tolist()
+            for e, (t, h, s) in enumerate(zip(tail.tolist(), head.tolist(), score.tolist())):
+                if tops[t] + s > tops[h]:
+                    tops[h], backs[h] = tops[t] + s, e
+            back = np.array(backs)
+        begun = np.zeros(len(back), bool)
+        begun[starts] = True
+        at, taken = starts + ends - begins, []
+        while len(at):
+            taken.append(back[at])
+            at = tail[taken[-1]]
+            at = at[~begun[at]]
+        taken = np.concatenate(taken)
+        taken = taken[np.argsort(first[taken])]
+        first, ids = first[taken], id_[taken]
+        bare = ids < 0
+        count = np.where(bare, _octets(codes[first]), 1)
+        out = np.repeat(ids, count)
+        raw = codes[first[bare]].astype("<u4").tobytes().decode("utf-32-le").encode()
+        out[np.repeat(bare, count)] = self.bytes[np.frombuffer(raw, np.uint8)]
+        cuts = 4 * np.cumsum(np.bincount(word[first], count, len(words))).astype(np.int64)
+        flat = out.astype("<i4").tobytes()
+        return [flat[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+
+
+def _octets(codes: np.ndarray) -> np.ndarray:
+    """Bytes of each code point in UTF-8."""
+    return 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+
+
 def word_counts(docs: DataFrame, most: int = 300_000) -> DataFrame:
     """word and count over all texts; tasks count in memory and send what they have when it grows too large."""
 
@@ -127,51 +232,39 @@ def word_counts(docs: DataFrame, most: int = 300_000) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encode(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", frequent: float = 4e-6) -> DataFrame:
-    """``docs`` with ``ids``; a null or empty text has none. Equal texts are encoded once. Runs jobs when called.
+def encode(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", frequent: float = 4e-6,
+           remember: int = 2_000_000) -> DataFrame:
+    """``docs`` with ``ids``; a null or empty text has none. Runs jobs when called.
 
-    Words that make up ``frequent`` of all words or more travel with the code: 1 / ``frequent`` words at most.
+    Words that make up ``frequent`` of all words or more travel with the code: 1 / ``frequent`` words at most. A task
+    remembers the paths of other words up to about ``remember`` characters. Neither number changes the result.
     """
     kept = [c for c in docs.columns if c != "ids"]
+    rows, code = piece_rows(vocabulary), byte_ids(vocabulary)
     counts = store(word_counts(docs), "words")
-    table = store(encoded_words(counts, piece_rows(vocabulary), byte_ids(vocabulary)), "encoded")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    often = counts.where(F.col("n") >= max(2, frequent * total)).join(table, "word").select("word", "ids").collect()
-    shared = docs.sparkSession.sparkContext.broadcast({r["word"]: np.array(r["ids"], "<i4").tobytes() for r in often})
-    keyed = docs.select(*kept, F.xxhash64(F.lit(1), "text").alias("__k1"), F.xxhash64(F.lit(2), "text").alias("__k2"))
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in slices(batches, "text"):
-            row, words = [], []
-            for i, text in enumerate(batch.column("text")):
-                missing = {w for w in words_of(text.as_py() or "") if w not in known}
-                row += [i] * len(missing)
-                words += missing
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("__k1").take(at), batch.column("__k2").take(at), pa.array(words, pa.string())],
-                ["__k1", "__k2", "word"])
-
-    asked = keyed.select("text", "__k1", "__k2").mapInArrow(rare, "__k1 bigint, __k2 bigint, word string").distinct()
-    own = asked.join(table, "word").groupBy("__k1", "__k2").agg(F.collect_list(F.struct("word", "ids")).alias("own"))
-    both = keyed.join(own, ["__k1", "__k2"], "left")
+    often = encoded_words(counts.where(F.col("n") >= max(2, frequent * total)), rows, code).collect()
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast({r["word"]: np.array(r["ids"], "<i4").tobytes() for r in often})
+    folds = context.broadcast(Lattice(rows, code))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, lattice, held = dict(shared.value), folds.value, 0
         for batch in slices(batches, "text"):
-            ids = []
-            for text, own_words in zip(batch.column("text"), batch.column("own")):
-                extra = {x["word"]: np.array(x["ids"], "<i4").tobytes() for x in own_words.as_py() or []}
-                ids.append(np.frombuffer(b"".join(
-                    [known.get(w) or extra[w] for w in words_of(text.as_py() or "")]), "<i4"))
+            if held > remember:
+                known, held = dict(shared.value), 0
+            texts = [words_of(text.as_py() or "") for text in batch.column("text")]
+            met = [w for w in set(chain.from_iterable(texts)) if w not in known]
+            known.update(zip(met, lattice.paths(met)))
+            held += sum(map(len, met))
+            ids = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4") for words in texts]
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in kept], pa.ListArray.from_arrays(pa.array(ends), flat)], [*kept, "ids"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    return both.select(*kept, "own").mapInArrow(fill, f"{schema}, ids array<int>")
+    return docs.select(*kept).mapInArrow(fill, f"{schema}, ids array<int>")
 
 
 def decoded(ids: Column, vocabulary: str = "piece_bpe_32k.model") -> Column:
