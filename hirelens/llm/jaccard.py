@@ -262,11 +262,25 @@ def _ones(a: pa.Array, b: pa.Array) -> np.ndarray:
     return out
 
 
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose 64-bit ``__mark`` may be one of ``wanted``, so that the others need not be sent.
+
+    A bit for each value of 25 bits of a mark tells; they travel as 2^19 numbers at most. No wanted row is dropped.
+    """
+    word, bit = F.shiftrightunsigned("__mark", 45), F.expr("shiftleft(1L, cast(__mark & 63 as int))")
+    bits = wanted.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    found = rows.withColumn("__word", word).join(F.broadcast(bits), "__word")
+    return found.where(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 def texts_of(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """key and a text of each class. Id and hash find one; where rows share both, one of them is taken."""
-    needed = keys.join(classes.select("key", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")), "key")
-    texts = docs.select("doc_id", "text").join(
-        needed, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")))
+    needed = keys.join(classes.select("key", F.col("doc_id").alias("__id"), F.col("hash").alias("__own")), "key")
+    needed = store(needed, "needed")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("__hash"))
+    rows = marked(rows.withColumn("__mark", F.xxhash64("doc_id", "__hash")),
+                  needed.select(F.xxhash64("__id", "__own").alias("__mark")))
+    texts = rows.join(needed, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__own")))
     return texts.select("key", "text").dropDuplicates(["key"])
 
 

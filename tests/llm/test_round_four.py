@@ -1,13 +1,17 @@
-"""Pieces without a way back, on words and columns that are awkward."""
+"""Pieces without a way back, on words and columns that are awkward; what the Jaccard join sends and leaves on disk."""
 
+import glob
 import math
+import os
 import random
+import tempfile
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hirelens.llm import pieces
+from hirelens.llm import common, jaccard, pieces
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +69,38 @@ def test_paths_go_back_without_an_exchange(spark, capsys):
     for frequent, remember in ((0, 10**6), (1, 10**6), (1, 0)):  # all repeated words in the table, none, none remembered
         other = pieces.encode(docs, frequent=frequent, remember=remember)
         assert {r.doc_id: r.ids for r in other.collect()} == ids
+
+
+def test_texts_that_are_not_needed_are_not_sent(spark):
+    docs = spark.range(20_000).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 10_000).alias("text"))
+    docs = docs.union(docs.where("doc_id is null or doc_id = 7"))  # copies of a row, and texts under two ids
+    wanted = F.coalesce("doc_id", F.lit(0)).isin(0, 7, 4_000, 10_007, 19_999)
+    classes = docs.where(wanted).distinct().select(
+        F.coalesce("doc_id", F.lit(0)).alias("key"), "doc_id", F.xxhash64("text").alias("hash"))
+    rows = jaccard.texts_of(classes.select("key"), classes, docs).collect()
+    assert sorted((r.key, r.text) for r in rows) == [
+        (i, f"text {i % 10_000}") for i in (0, 7, 4_000, 10_007, 19_999)]
+    mark = F.xxhash64("doc_id", "text").alias("__mark")
+    sent = jaccard.marked(docs.select("doc_id", mark), docs.where(wanted).select(mark))
+    assert sent.columns == ["doc_id", "__mark"]
+    ids = [r.doc_id or 0 for r in sent.collect()]
+    assert {0, 7, 4_000, 10_007, 19_999} <= set(ids) and len(ids) < 50
+    nothing = jaccard.marked(docs.select("doc_id", mark), docs.where("false").select(mark))
+    assert nothing.count() == 0
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    root = spark.conf.get("spark.local.dir", None) or os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()
+    files = lambda: set(glob.glob(f"{root}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+    before, set_before = files(), spark.conf.get(key, None)
+    rows = spark.range(10_000).repartition(5, "id")
+    stored = common.store(rows, "step")
+    for _ in range(50):  # files are removed a little later
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and stored.count() == rows.count() == 10_000
+    assert spark.conf.get(key, None) == set_before
