@@ -130,10 +130,14 @@ class Lattice:
         self.id[at], self.score[at] = [i for i, _, _ in pieces], [score for _, _, score in pieces]
         self.bytes = np.array(bytes_)
 
-    def edges(self, codes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
-        """First place, length, score and id (-1: its bytes) of all edges; ``room`` is what is left of a place's word."""
-        at, node, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), []
-        for length in range(1, int(room.max()) + 1):
+    def edges(self, codes: np.ndarray, room: np.ndarray, low: int, high: int) -> tuple[np.ndarray, ...]:
+        """First place, length, score and id (-1: its bytes) of the edges that begin at ``low`` to ``high``.
+
+        ``room`` is what is left of the word of each place.
+        """
+        at = np.arange(low, high)
+        node, found = np.zeros(len(at), np.int64), []
+        for length in range(1, int(room[low:high].max()) + 1):
             if length > 1:
                 inside = room[at] >= length
                 at, node = at[inside], node[inside]
@@ -151,59 +155,65 @@ class Lattice:
         return (np.concatenate([x[0] for x in found]), np.repeat([x[1] for x in found], [len(x[0]) for x in found]),
                 np.concatenate([x[2] for x in found]), np.concatenate([x[3] for x in found]))
 
-    def paths(self, words: list[str], part: int = 100_000) -> Iterator[bytes]:
-        """The ids of each word as bytes; words are taken in parts of about ``part`` characters."""
+    def paths(self, words: list[str], part: int = 50_000) -> Iterator[bytes]:
+        """The ids of each word as bytes; edges of about ``part`` places are held at a time, also of a longer word."""
         low = 0
         ends = np.cumsum([len(w) for w in words])
         while low < len(words):
             high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + part, "right")))
-            yield from self._paths(words[low:high])
+            yield from self._paths(words[low:high], part)
             low = high
 
-    def _paths(self, words: list[str]) -> list[bytes]:
-        text = "".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    def _paths(self, words: list[str], part: int) -> list[bytes]:
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
         ends = np.cumsum([len(w) for w in words])
         begins = np.concatenate([[0], ends[:-1]])
         word = np.repeat(np.arange(len(words)), ends - begins)
-        first, length, score, id_ = self.edges(codes, ends[word] - np.arange(len(codes)))
-        # by the place in its word where an edge ends, the longest first
-        end = first - begins[word[first]] + length
-        order = np.lexsort((-length, end))
-        first, length, score, id_, end = (x[order] for x in (first, length, score, id_, end))
-        tail = first + word[first]  # a word has one place more than characters
-        head = tail + length
-        best, back = np.full(len(codes) + len(words), -np.inf), np.zeros(len(codes) + len(words), np.int64)
-        starts = begins + np.arange(len(words))
+        room = ends[word] - np.arange(len(codes))
+        starts = begins + np.arange(len(words))  # a word has one place more than characters
+        places = len(codes) + len(words)
+        best, before, piece = np.full(places, -np.inf), np.zeros(places, np.int64), np.zeros(places, np.int64)
         best[starts] = 0
-        new = np.flatnonzero((end[1:] != end[:-1]) | (length[1:] != length[:-1])) + 1
-        if 16 * len(new) < len(first):
-            for a, b in zip([0, *new], [*new, len(first)]):  # edges that end in different words
-                top = best[tail[a:b]] + score[a:b]
-                better = np.flatnonzero(top > best[head[a:b]])
-                best[head[a + better]], back[head[a + better]] = top[better], a + better
-        else:  # few or long words
-            tops, backs = best.tolist(), back.tolist()
-            for e, (t, h, s) in enumerate(zip(tail.tolist(), head.tolist(), score.tolist())):
-                if tops[t] + s > tops[h]:
-                    tops[h], backs[h] = tops[t] + s, e
-            back = np.array(backs)
-        begun = np.zeros(len(back), bool)
+        for low in range(0, len(codes), part):
+            first, length, score, id_ = self.edges(codes, room, low, min(low + part, len(codes)))
+            # by the place in its word where an edge ends, the longest first
+            end = first - begins[word[first]] + length
+            order = np.lexsort((-length, end))
+            first, length, score, id_, end = (x[order] for x in (first, length, score, id_, end))
+            tail = first + word[first]
+            head = tail + length
+            new = np.flatnonzero((end[1:] != end[:-1]) | (length[1:] != length[:-1])) + 1
+            if 16 * len(new) < len(first):
+                for a, b in zip([0, *new], [*new, len(first)]):  # edges that end in different words
+                    top = best[tail[a:b]] + score[a:b]
+                    better = np.flatnonzero(top > best[head[a:b]])
+                    at = head[a + better]
+                    best[at], before[at], piece[at] = top[better], tail[a + better], id_[a + better]
+            else:  # few or long words
+                a, b = int(tail.min()), int(head.max()) + 1
+                tops, taken = best[a:b].tolist(), [-1] * (b - a)
+                for e, (t, h, s) in enumerate(zip((tail - a).tolist(), (head - a).tolist(), score.tolist())):
+                    if tops[t] + s > tops[h]:
+                        tops[h], taken[h] = tops[t] + s, e
+                best[a:b], taken = tops, np.array(taken)
+                at = np.flatnonzero(taken >= 0)
+                before[a + at], piece[a + at] = tail[taken[at]], id_[taken[at]]
+        begun = np.zeros(places, bool)
         begun[starts] = True
-        at, taken = starts + ends - begins, []
+        at, heads = starts + ends - begins, []
         while len(at):
-            taken.append(back[at])
-            at = tail[taken[-1]]
+            heads.append(at)
+            at = before[at]
             at = at[~begun[at]]
-        taken = np.concatenate(taken)
-        taken = taken[np.argsort(first[taken])]
-        first, ids = first[taken], id_[taken]
+        heads = np.sort(np.concatenate(heads))
+        owner = np.searchsorted(starts, heads, "right") - 1
+        first, ids = before[heads] - owner, piece[heads]
         bare = ids < 0
         count = np.where(bare, _octets(codes[first]), 1)
         out = np.repeat(ids, count)
         raw = codes[first[bare]].astype("<u4").tobytes().decode("utf-32-le").encode()
         out[np.repeat(bare, count)] = self.bytes[np.frombuffer(raw, np.uint8)]
-        cuts = 4 * np.cumsum(np.bincount(word[first], count, len(words))).astype(np.int64)
+        cuts = 4 * np.cumsum(np.bincount(owner, count, len(words))).astype(np.int64)
         flat = out.astype("<i4").tobytes()
         return [flat[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
 

@@ -47,7 +47,7 @@ def test_words_have_the_same_path_in_tasks_and_in_the_relational_lattice(spark,
     scores = {p: (i, s) for i, p, s in rows}
     plain = [plain_path(w, scores, bytes_) for w in words]
     lattice = pieces.Lattice(rows, bytes_)
-    for part in (100_000, 50, 1):  # many words at once, few, and one by one
+    for part in (100_000, 50, 1):  # many words at once, few, and a place at a time
         assert [np.frombuffer(x, "<i4").tolist() for x in lattice.paths(words, part)] == plain
     table = spark.createDataFrame([(w,) for w in words], "word string")
     assert {r.word: r.ids for r in pieces.encoded_words(table, rows, bytes_).collect()} == dict(zip(words, plain))
