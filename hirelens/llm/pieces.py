@@ -178,7 +178,8 @@ class Lattice:
             first, length, score, id_ = self.edges(codes, room, low, min(low + part, len(codes)))
             # by the place in its word where an edge ends, the longest first
             end = first - begins[word[first]] + length
-            order = np.lexsort((-length, end))
+            rank = end * (int(length.max()) + 1) - length
+            order = np.argsort(rank.astype(np.min_scalar_type(int(rank.max()))), kind="stable")  # small numbers sort fast
             first, length, score, id_, end = (x[order] for x in (first, length, score, id_, end))
             tail = first + word[first]
             head = tail + length
