@@ -81,7 +81,7 @@ class Shingler:
         np.cumsum(self.codes[data] * self.up[:n], out=sums[1:])
         return mix((sums[end] - sums[begin]) * self.down[begin] + (end - begin).astype(np.uint64)), begin
 
-    def hashes(self, texts: pa.Array, part: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
+    def hashes(self, texts: pa.Array, part: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
         """Row and hash of every distinct shingle, ordered by row and hash."""
         offsets, data = text_bytes(texts)
         marks = np.zeros(len(data) + 1, bool)

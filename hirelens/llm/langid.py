@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from hirelens.llm.common import long_column, slices, text_bytes
 
 FEATURES = 1 << 13
+FACTORS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x2C1B3C6D], np.uint32)
+SLICE = 1 << 18  # bytes of text at a time: a worker needs some twenty bytes for each
 HAS_LETTER = r"\p{L}"
 # Classes of texts by their number of n-grams, and the bytes that training texts are also cut to, so that each is met.
 CLASSES = np.array([32, 64, 128, 256, 1024])
@@ -31,7 +33,7 @@ class Grams:
     """
 
     def __init__(self):
-        code = np.full(256, 32, np.int64)
+        code = np.full(256, 32, np.uint32)
         code[65:91] = np.arange(97, 123)
         code[97:123] = np.arange(97, 123)
         code[128:] = np.arange(128, 256)
@@ -44,12 +46,12 @@ class Grams:
         accented = np.zeros(len(b), bool)
         accented[1:] = data[:-1] == 0xC3
         b[accented & (b >= 0x80) & (b <= 0x9E)] += 0x20
-        out = np.full(len(b), -1, np.int64)
+        out = np.full(len(b), -1, np.int32)
         if len(b) > 2:
             letter = (b != 32).astype(np.int8)
-            number = (b[:-2] * 0x9E3779B1 + b[1:-1] * 0x85EBCA6B + b[2:] * 0xC2B2AE35) & 0xFFFFFFFF
-            number = ((number ^ (number >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF) >> 19
-            out[:-2] = np.where(letter[:-2] + letter[1:-1] + letter[2:] >= 2, number, -1)
+            number = b[:-2] * FACTORS[0] + b[1:-1] * FACTORS[1] + b[2:] * FACTORS[2]  # modulo 2 ** 32
+            number = ((number ^ (number >> 15)) * FACTORS[3]) >> 19
+            out[:-2] = np.where(letter[:-2] + letter[1:-1] + letter[2:] >= 2, number.astype(np.int32), -1)
         edges = offsets[1:]
         for back in (1, 2):  # trigrams do not cross rows
             at = edges - back
@@ -57,10 +59,11 @@ class Grams:
         return out, offsets
 
     def counts(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        features, offsets = self.features(texts)
-        for a, b in zip(offsets[:-1], offsets[1:]):
-            own = features[a:b]
-            yield np.bincount(own[own >= 0], minlength=FEATURES)
+        for part in slices([pa.record_batch([texts], ["text"])], "text", SLICE):
+            features, offsets = self.features(part.column("text"))
+            for a, b in zip(offsets[:-1], offsets[1:]):
+                own = features[a:b]
+                yield np.bincount(own[own >= 0], minlength=FEATURES)
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -168,7 +171,9 @@ def fit(training: DataFrame, per_language: int = 600, k: int = 3, quantile: floa
         grams = Grams()
         texts = group.sort_by([("order", "ascending"), ("mark", "ascending")]).column("text").combine_chunks()
         texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
-        rows = np.array([np.log1p(c).astype(np.float32) for c in grams.counts(texts)]) * idf.astype(np.float32)
+        rows = np.empty((len(texts), FEATURES), np.float32)
+        for row, c in zip(rows, grams.counts(texts)):
+            row[:] = np.log1p(c).astype(np.float32) * idf.astype(np.float32)
         centroids = clusters(unit(rows), k).astype(np.float64)
         least = floors(texts.to_pylist(), idf, centroids, evidence, quantile, share)
         return pa.table({"lang": pa.array([group.column("lang")[0].as_py()] * len(centroids)),
