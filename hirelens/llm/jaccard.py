@@ -3,9 +3,10 @@
 A document is the set of its distinct word shingles, as 64-bit hashes in ascending order. Equal sets are one class.
 
 Index: the ordered set is cut into blocks by position (ranges of the hash space). Two sets whose sizes allow a link
-differ in so few elements that, with one block more than that, one block at least agrees as a whole. An index list
-holds the sets that share a block; all other lists are skipped. Lists of single elements would grow with the square of
-the documents that share a passage, and such documents may not be dropped; lists of blocks do not.
+differ in so few elements that, among one filled block more than that, one block at least agrees as a whole; so a set
+sends that many of its filled blocks, in order of position, and no others. An index list holds the sets that share a
+block; all other lists are skipped. Lists of single elements would grow with the square of the documents that share a
+passage, and such documents may not be dropped; lists of blocks do not.
 
 Answers: the sets that share a block with a leader (the least set of that block) are its family. Every member is
 compared with the leader only; what is linked to it is connected. A family whose members are not all connected then elects
@@ -133,17 +134,19 @@ class Law:
 
     def __init__(self, percent: int, largest: int = 1 << 40):
         self.percent = percent
-        self.lows, self.blocks, self.spare = [], [], []
+        self.lows, self.blocks = [], []
         low = 1
         while low <= largest:
-            high = 100 * low // percent
-            differ = self.differ(high + 100 * high // percent)
-            spare = 2 + differ // 50 if differ else 0
+            high = self.partner(self.partner(low))
+            differ = self.differ(high + self.partner(high))
             self.lows.append(low)
-            self.blocks.append(differ + 1 + spare if differ else 0)
-            self.spare.append(spare)
+            self.blocks.append(differ + 3 + differ // 25 if differ else 0)  # some of them are empty
             low = high + 1
-        self.lows, self.blocks, self.spare = map(np.array, (self.lows, self.blocks, self.spare))
+        self.lows, self.blocks = map(np.array, (self.lows, self.blocks))
+
+    def partner(self, size):
+        """Size of the largest set that can be linked with one of that size."""
+        return 100 * size // self.percent
 
     def differ(self, sizes):
         """Most elements in which linked sets with that sum of sizes can differ."""
@@ -192,10 +195,13 @@ def set_rows(docs: DataFrame, words: int, seed: int) -> DataFrame:
 
 
 def block_rows(docs: DataFrame, words: int, seed: int, law: Law, remember: int = 500_000) -> DataFrame:
-    """The index: block and key of every set, with the blocks of its own size interval and the one below.
+    """The index: block and key of every set, with the blocks of its own size interval and, where a set there may be
+    linked with it, of the one below.
 
-    A task sends a set once, as far as it remembers (a repeated row changes nothing). A set with more empty blocks
-    than the interval has to spare sends these as well.
+    A set sends its first filled blocks, one more than the elements in which it can differ from a linked set: of two
+    linked sets, one sends no further than the other, and the blocks that it sends cannot all disagree. A set with too
+    few filled blocks sends all blocks, also the empty ones. A task sends a set once, as far as it remembers (a repeated
+    row changes nothing).
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +224,10 @@ def block_rows(docs: DataFrame, words: int, seed: int, law: Law, remember: int =
             inner = mix(h ^ U64(0x5851F42D4C957F2D))
             for below in (0, 1):
                 scheme = interval - below
-                blocks = np.where(fresh & (scheme >= 0), law.blocks[np.maximum(scheme, 0)], 0)
+                partner = law.lows[np.maximum(interval, 0)] - 1 if below else law.partner(size)
+                needed = law.differ(size + partner) + 1
+                meets = fresh & (scheme >= 0) & (100 * partner >= law.percent * size)
+                blocks = np.where(meets, law.blocks[np.maximum(scheme, 0)], 0)
                 kept = blocks[row] > 0
                 if not kept.any():
                     continue
@@ -229,9 +238,10 @@ def block_rows(docs: DataFrame, words: int, seed: int, law: Law, remember: int =
                 at = np.flatnonzero(new)
                 place = lambda rows, b: mix(scheme[rows].astype(np.uint64) * U64(1 << 40) + b)
                 sign = mix(np.add.reduceat(content, at) ^ place(r[at], block[at]))
-                keys = key[r[at]]
-                empty = blocks - np.bincount(r[at], minlength=n)
-                for i in np.flatnonzero((blocks > 0) & (empty > law.spare[np.maximum(scheme, 0)])):
+                filled = np.bincount(r[at], minlength=n)
+                sends = np.arange(len(at)) - (np.cumsum(filled) - filled)[r[at]] < needed[r[at]]
+                sign, keys = sign[sends], key[r[at]][sends]
+                for i in np.flatnonzero((blocks > 0) & (filled < needed)):
                     none = np.setdiff1d(np.arange(blocks[i], dtype=np.uint64), block[at][r[at] == i])
                     sign = np.append(sign, mix(place(np.full(len(none), i), none)))
                     keys = np.append(keys, np.full(len(none), key[i]))
