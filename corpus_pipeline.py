@@ -35,14 +35,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = groups.groupBy("__group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__text")).alias("first"))
     marked = groups.join(first, "__group").withColumn(
         "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("__text") == F.col("first.__text")))
-    named = lambda rows: store(rows.select(
-        F.col("doc_id").alias("g_id"), F.col("__text").alias("g_text")), "named")
+    named = store(marked.where("not stays or count > 1").select(
+        F.col("doc_id").alias("g_id"), F.col("__text").alias("g_text"), "stays"), "named")
     same = F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("__text") == F.col("g_text"))
-    kept = keyed.join(named(marked.where("not stays")), same, "left_anti")
-    again = named(marked.where("stays and count > 1"))
+    keyed = jaccard.may_be(keyed.withColumn("__mark", F.xxhash64("doc_id", "__text")),
+                           named.select(F.xxhash64("g_id", "g_text").alias("__mark")))
+    kept = keyed.where("__may").join(named.where("not stays"), same, "left_anti")  # only texts that may go are sent
+    again = named.where("stays")
     if not again.isEmpty():
         once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "__text"])
         kept = kept.join(again, same, "left_anti").unionByName(once)
+    kept = keyed.where("not __may").unionByName(kept)
     return kept.select(*COLUMNS)
 
 

@@ -272,15 +272,21 @@ def _ones(a: pa.Array, b: pa.Array) -> np.ndarray:
     return out
 
 
-def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose 64-bit ``__mark`` may be one of ``wanted``, so that the others need not be sent.
+def may_be(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows with ``__may``: whether their 64-bit ``__mark`` may be one of ``wanted``, so that the others need not be sent.
 
-    A bit for each value of 25 bits of a mark tells; they travel as 2^19 numbers at most. No wanted row is dropped.
+    A bit for each value of 25 bits of a mark tells; they travel as 2^19 numbers at most. No wanted row is told no.
     """
     word, bit = F.shiftrightunsigned("__mark", 45), F.expr("shiftleft(1L, cast(__mark & 63 as int))")
     bits = wanted.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
-    found = rows.withColumn("__word", word).join(F.broadcast(bits), "__word")
-    return found.where(F.col("__bits").bitwiseAND(bit) != 0).select(*rows.columns)
+    found = rows.withColumn("__word", word).join(F.broadcast(bits), "__word", "left")
+    may = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    return found.select(*rows.columns, may.alias("__may"))
+
+
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``__mark`` may be one of ``wanted``."""
+    return may_be(rows, wanted).where("__may").select(*rows.columns)
 
 
 def texts_of(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:

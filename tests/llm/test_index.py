@@ -1,9 +1,14 @@
-"""The block index of the Jaccard join: linked sets meet in it, unrelated sets do not."""
+"""The block index of the Jaccard join: linked sets meet in it, unrelated sets do not; what its results make others send."""
+
+import glob
+import os
+import tempfile
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hirelens.llm import jaccard
 
 
@@ -48,3 +53,28 @@ def test_unrelated_sets_share_no_block(spark):
     shared = rows.groupBy("block").count().where("count > 1").count()
     assert shared <= 20
     assert rows.count() <= 0.4 * sum(sizes)
+
+
+def test_texts_that_stay_are_not_sent(spark):
+    """Without broadcast joins, only texts that may be dropped go through the exchange of the result."""
+    key, copies = "spark.sql.autoBroadcastJoinThreshold", 20
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"{i:x}" for i in rng.integers(2**60, size=300)) for _ in range(1500)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    rows += [(10_000 + i, t, "en", "s", len(t)) for i, t in enumerate(texts[:copies])] + rows[-5:] * 2
+    rows += [(None, texts[7], None, None, None), (None, " ", None, None, 1), (20_000, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = corpus_pipeline.store(docs, "docs")
+    root = spark.conf.get("spark.local.dir", None) or os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()
+    files = lambda: set(glob.glob(f"{root}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = corpus_pipeline.near_duplicates(spark, docs, "")
+        old = files()
+        kept = [r.doc_id for r in out.select("doc_id", "text").collect()]
+        sent = sum(os.path.getsize(f) for f in files() - old)
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(i for i in kept if i is not None) == [*range(1500), 20_000] and kept.count(None) == 1
+    assert sent < 0.2 * sum(map(len, texts))
